@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import mixing, sharding, url_filter
+from almanac.llm import mixing, packing, quality, sharding, toxicity, url_filter
 from almanac.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def _query(f):
     return f
 
 
+@_query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -32,6 +37,17 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).withColumnRenamed("id", "page_id")
 
 
+@_query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.rules(read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @_query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
