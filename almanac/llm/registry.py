@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import mixing, packing, quality, sharding, toxicity, url_filter
+from almanac.llm import licenses, mixing, near_dup, packing, quality, sharding, toxicity, url_filter, vector_search, warc
 from almanac.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).withColumnRenamed("id", "page_id")
 
 
+@_query
+def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(read(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -48,8 +53,24 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("spans")
+
+
 @_query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.size("draws").alias("n_draws"))
+
+
+@_query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(read(spark, sf_dir, "pages"))
+    return warc.read(manifest).drop("url")
+
+
+@_query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
