@@ -26,15 +26,15 @@ def _filled(name: str) -> Column:
 
 def _document(rows: DataFrame, by: list[str], order: list[str], head: Column, line: Column) -> DataFrame:
     """One text per group: a head that knows the group's size, and the lines in order."""
-    each = rows.select(*by, F.struct(*order, line.alias("line")).alias("r"))
-    listed = each.groupBy(*by).agg(F.array_sort(F.collect_list("r")).alias("rows"), F.count("*").alias("n"))
-    return listed.select(*by, F.concat_ws("\n", head, F.array_join(F.transform("rows", lambda r: r["line"]), "\n")).alias("markdown"))
+    each = rows.select(*by, F.struct(*order, line.alias("_line")).alias("_row"))
+    listed = each.groupBy(*by).agg(F.array_sort(F.collect_list("_row")).alias("_rows"), F.count("*").alias("_n"))
+    return listed.select(*by, F.concat_ws("\n", head, F.array_join(F.transform("_rows", lambda r: r["_line"]), "\n")).alias("markdown"))
 
 
 def search_results(rows: DataFrame, by: list[str]) -> DataFrame:
     """rows: by, language, rank, title, pageid, wordcount, snippet."""
     line = _lines(F.concat(F.lit("### "), "title"), F.concat(F.lit("**Page ID:** "), F.col("pageid").cast("string"), F.lit(" | **Words:** "), F.col("wordcount").cast("string")), _if(_filled("snippet"), F.col("snippet")))
-    return _document(rows, [*by, "language"], ["rank"], F.concat(F.lit("**"), F.col("n").cast("string"), F.lit(" results** ("), F.col("language"), F.lit(")\n")), line)
+    return _document(rows, [*by, "language"], ["rank"], F.concat(F.lit("**"), F.col("_n").cast("string"), F.lit(" results** ("), F.col("language"), F.lit(")\n")), line)
 
 
 def summaries() -> Column:
@@ -65,11 +65,11 @@ def nearby_results(rows: DataFrame, by: list[str]) -> DataFrame:
     """rows: by, language, rank, title, pageid, distance_meters, latitude, longitude."""
     where = F.concat(F.lit("**Page ID:** "), F.col("pageid").cast("string"), F.lit(" | **Distance:** "), number(F.col("distance_meters")), F.lit("m | **Coords:** ("), number(F.col("latitude")), F.lit(", "), number(F.col("longitude")), F.lit(")"))
     line = _lines(F.concat(F.lit("### "), "title"), where)
-    return _document(rows, [*by, "language"], ["rank"], F.concat(F.lit("**"), F.col("n").cast("string"), F.lit(" articles** ("), F.col("language"), F.lit(")\n")), line)
+    return _document(rows, [*by, "language"], ["rank"], F.concat(F.lit("**"), F.col("_n").cast("string"), F.lit(" articles** ("), F.col("language"), F.lit(")\n")), line)
 
 
 def language_list(rows: DataFrame, by: list[str]) -> DataFrame:
     """rows: by, source_title, source_language, language_code, title, url."""
     line = F.concat(F.lit("- **"), "language_code", F.lit("**: ["), "title", F.lit("]("), "url", F.lit(")"))
-    head = F.concat(F.lit('## Language editions for "'), "source_title", F.lit('" ('), "source_language", F.lit(")\n**"), F.col("n").cast("string"), F.lit(" languages available**\n"))
+    head = F.concat(F.lit('## Language editions for "'), "source_title", F.lit('" ('), "source_language", F.lit(")\n**"), F.col("_n").cast("string"), F.lit(" languages available**\n"))
     return _document(rows, [*by, "source_title", "source_language"], ["language_code", "title"], head, line)
