@@ -194,8 +194,7 @@ def rules(docs: DataFrame, least: int = LEAST) -> DataFrame:
 def good_documents(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The rows of docs that rules() keeps, with their columns. Counts are taken again rather than joined: texts never move."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "lang", "source", "text")
-    known = learned(tables.stored(counts(plain, ["lang", "source"]), "quality-counts"), least)
+    known = learned(tables.stored(counts(docs, ["lang", "source"]), "quality-counts"), least)
     renamed = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)], "lang", "source", "text")
     kept = judged(counts(renamed, [*names, "lang", "source"]), least, known).where("kept")
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

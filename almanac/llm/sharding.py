@@ -6,8 +6,8 @@ one slot at most, and removing a shard moves little besides its own slots. The t
 never on data: SLOTS rows, which is the proven bound of what is broadcast. A row's place is one hash and one lookup.
 
 Defined cases: a null key is a key like any other, so its rows lie together; rows with equal keys lie together, in any
-number (placing shuffles nothing, so no key is too frequent); an empty table gives no rows; a column named like a result
-column is refused.
+number (placing shuffles nothing, so no key is too frequent); an empty table gives no rows; a column named slot or
+shard, in any case, gives way to the result's.
 """
 
 from __future__ import annotations
@@ -60,10 +60,11 @@ def slot_of(*keys: Column, slots: int = SLOTS) -> Column:
 
 def place(df: DataFrame, keys: Sequence[str], shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> DataFrame:
     """df with slot and shard of each row."""
-    if clash := {"slot", "shard"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"columns already there: {sorted(clash)}")
-    where = F.broadcast(table(df.sparkSession, shards, slots))
-    return df.withColumn("slot", slot_of(*[df[k] for k in keys], slots=slots)).join(where, "slot").select(*df.columns, "slot", "shard")
+    where = F.broadcast(table(df.sparkSession, shards, slots).withColumnsRenamed({"slot": "_slot", "shard": "_shard"}))
+    own = [df[c] for c in df.columns if c.lower() not in ("slot", "shard", "_slot", "_shard")]
+    slotted = df.select(*own, slot_of(*[df[k] for k in keys], slots=slots).alias("slot"))
+    placed = slotted.join(where, slotted["slot"] == where["_slot"])
+    return placed.select(*[slotted[c] for c in slotted.columns], where["_shard"].alias("shard"))
 
 
 def balance(placed: DataFrame, weight: Column | None = None) -> DataFrame:

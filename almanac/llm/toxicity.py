@@ -6,7 +6,7 @@ a text, each is max-pooled and rectified, and a linear layer makes the score. Th
 cautious log-odds of each hash; everything is then trained by stochastic gradients (Adagrad).
 
 Training rows: labelled documents whose crc32(doc_id as text) mod 5 is not 0, at most MOST_POSITIVE and MOST_NEGATIVE of
-them, those of smallest hash, spread over languages as they come. A quarter of them, apart from the others, sets the scale
+them and MOST_CHARACTERS in all, those of smallest hash, spread over languages as they come. A quarter of them, apart from the others, sets the scale
 of scores (0.5 is where the two kinds of error balance best) and, for each language with enough rows, the threshold at which
 toxic_documents() rejects. Labels, language, source and doc_id are never inputs of a score.
 
@@ -22,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm import words
 
-MOST_POSITIVE, MOST_NEGATIVE = 4_000, 6_000
+MOST_POSITIVE, MOST_NEGATIVE, MOST_CHARACTERS = 4_000, 6_000, 48_000_000
 BUCKET_BITS = 18
 PREFIXES = (3, 4, 5, 6, 7, 8)
 SIZE, FILTERS, WIDTHS = 8, 6, (1, 2, 3)
@@ -178,14 +178,17 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
 
 def calibrate(m: Model, docs: list[np.ndarray], y: np.ndarray, lang: list) -> None:
     """Sets base and scale so that 0.5 is the best cut, and a threshold for each language with rows enough."""
-    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
-    z = m.logits(np.concatenate(docs), bounds)
+    def each(f) -> np.ndarray:
+        parts = [docs[i : i + 128] for i in range(0, len(docs), 128)]
+        return np.concatenate([f(np.concatenate(p), np.concatenate([[0], np.cumsum([len(d) for d in p])])) for p in parts])
+
+    z = each(m.logits)
     if len(set(y.tolist())) > 1:
         cut = _best_cut(z, y)
         m.base -= cut
         apart = np.median(z[y == 1]) - cut, cut - np.median(z[y == 0])
         m.scale = float(np.clip(3 / max(min(apart), 1e-3), 0.25, 4))
-    p = m.scores(np.concatenate(docs), bounds)
+    p = each(m.scores)
     for code in sorted({x for x in lang if x is not None}):
         own = np.array([x == code for x in lang])
         if min(y[own].sum(), (1 - y[own]).sum()) >= LEAST_BY_LANGUAGE:
@@ -201,7 +204,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, positive: int = MOST_POSIT
     known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     sample = known.where("toxic = 1").orderBy("h", "doc_id").limit(positive).union(known.where("toxic = 0").orderBy("h", "doc_id").limit(negative))
-    return docs.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).orderBy("h", "doc_id").select("toxic", "lang", "text")
+    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    until = F.sum(F.length("text")).over(Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("until", F.coalesce(until, F.lit(0))).where(F.col("until") <= MOST_CHARACTERS)  # ordered: positive + negative rows at most
+    return rows.orderBy("h", "doc_id").select("toxic", "lang", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
