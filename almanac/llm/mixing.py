@@ -67,7 +67,7 @@ def _split(nodes: DataFrame) -> DataFrame:
     half = "(lo + hi) div 2"
     parts = nodes.selectExpr("lo", "hi", f"{half} AS mid", "quota", "aggregate(quota, 0L, (a, s) -> a + s.q) AS balls")
     parts = parts.selectExpr("*", "cast(round(balls * (mid - lo) / (hi - lo)) AS bigint) AS slots")
-    urn = f"""aggregate(quota, named_struct('n', slots, 'r', balls, 'took', cast(array() AS array<bigint>)),
+    urn = f"""aggregate(quota, named_struct('n', slots, 'r', balls, 'open', cast(array() AS array<bigint>)),
         (a, s) -> named_struct(
             'n', aggregate(if(s.q > 0, sequence(1L, s.q), cast(array() AS array<bigint>)), named_struct('n', a.n, 'r', a.r),
                  (b, i) -> named_struct(
@@ -75,11 +75,11 @@ def _split(nodes: DataFrame) -> DataFrame:
                      'r', b.r - 1L),
                  b -> b.n),
             'r', a.r - s.q,
-            'took', array_append(a.took, a.n)),
-        a -> a.took)"""
-    # took: the slots left after each source; their differences are what the sources gave
-    parts = parts.selectExpr("*", f"{urn} AS left_over")
-    parts = parts.selectExpr("*", "transform(left_over, (x, i) -> if(i = 0, slots, left_over[i - 1]) - x) AS took")
+            'open', array_append(a.open, a.n)),
+        a -> a.open)"""
+    # open: the slots left before each source, none at the end; their differences are what the sources gave
+    parts = parts.selectExpr("*", f"{urn} AS open")
+    parts = parts.selectExpr("*", "transform(open, (x, i) -> x - coalesce(get(open, i + 1), 0L)) AS took")
     left = "named_struct('lo', lo, 'hi', mid, 'quota', transform(quota, (s, i) -> named_struct('ord', s.ord, 'q', took[i])))"
     right = "named_struct('lo', mid, 'hi', hi, 'quota', transform(quota, (s, i) -> named_struct('ord', s.ord, 'q', s.q - took[i])))"
     whole = "named_struct('lo', lo, 'hi', hi, 'quota', quota)"
