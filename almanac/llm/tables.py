@@ -10,11 +10,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.runtime import ship
+
 #: Words by ASCII white space, as a Java and as a DuckDB regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -46,6 +49,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written once to the shared folder and read again: later steps neither repeat its work nor lose it with an executor."""
     spark = df.sparkSession
+    ship(spark)
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

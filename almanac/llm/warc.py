@@ -1,6 +1,6 @@
 """WARC archives in Zstandard: written with a shared dictionary, read back frame by frame and validated.
 
-An archive begins with a skippable frame (magic 0x184D2A5D) that holds the dictionary, itself compressed if that is
+An archive with any payload begins with a skippable frame (magic 0x184D2A5D) that holds the dictionary, itself compressed if that is
 smaller; then each record is one frame with size and checksum. The reader loads the dictionary, decodes one frame per
 record and checks version, mandatory fields, lengths of record, block and payload, both digests, and that the archive has
 as many records as its manifest says. Archives are written by the tasks that hold the pages, below the shared folder and
@@ -40,7 +40,7 @@ SAMPLE_BYTES = 1 << 20
 SMALL_GROUPS = 200_000
 READ_BYTES = 64 << 10
 DATE = "2000-01-01T00:00:00Z"
-_SKIPPABLE, _FRAME = 0x184D2A5D, b"\x28\xb5\x2f\xfd"
+_SKIPPABLE, _FRAME, _TRAINED = 0x184D2A5D, b"\x28\xb5\x2f\xfd", b"\x37\xa4\x30\xec"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length", "warc-block-digest", "warc-payload-digest")
 MANIFEST = "path string, n_records long, n_bytes long"
@@ -85,7 +85,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ki
 
 
 def dictionary(payloads: list[bytes]) -> bytes:
-    """A dictionary from samples; empty if they are too few to train one."""
+    """A dictionary from samples: trained, or, where they are too few for that, a piece of them; empty without any."""
     samples, total = [], 0
     for p in payloads:
         if p:
@@ -93,12 +93,14 @@ def dictionary(payloads: list[bytes]) -> bytes:
             total += len(samples[-1])
         if total >= SAMPLE_BYTES:
             break
-    if len(samples) < 16 or total < 8 * DICTIONARY_BYTES:
-        return b""
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    size = min(DICTIONARY_BYTES, total // 10)
+    if len(samples) >= 16 and size >= 2048:
+        try:
+            return zstandard.train_dictionary(size, samples, k=256, d=8).as_bytes()
+        except zstandard.ZstdError:  # samples too much alike
+            pass
+    plain = b"".join(samples)[:4096]
+    return b"" if plain[:4] in (_FRAME, _TRAINED) else plain
 
 
 def _dictionary_frame(data: bytes) -> bytes:
@@ -121,7 +123,7 @@ class Writer:
         self.files.create_dir(self.folder, recursive=True)
         self.path = f"{self.folder}/{self.task}-{self.made:04d}.warc.zst"
         self.made += 1
-        self.out = self.files.open_output_stream(self.path)
+        self.out = self.files.open_output_stream(self.path, compression=None)
         frame = _dictionary_frame(data)
         self.out.write(frame)
         self.compress = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(data) if data else None, write_checksum=True).compress
@@ -240,7 +242,7 @@ def _read(payloads: bool):
             for path, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 files, local = fs.FileSystem.from_uri(path)
                 rows, done, held = [], 0, 0
-                with files.open_input_stream(local) as stream:
+                with files.open_input_stream(local, compression=None) as stream:
                     for rec in frames(stream):
                         rows.append(parse(rec))
                         held += len(rec)
