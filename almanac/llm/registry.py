@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import licenses, mixing, near_dup, packing, quality, sharding, toxicity, url_filter, vector_search, warc
+from almanac.llm import licenses, mixing, near_dup, oracles, packing, quality, sharding, toxicity, url_filter, vector_search, warc
 from almanac.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_url_filters": oracles.URLS,
+    "op4_vector_search": oracles.VECTORS,
+    "op6_quality_rules": oracles.QUALITY,
+    "op7_license_scans": oracles.LICENSES,
+    "op9_warc": oracles.WARC,
+    "op10_near_dedup": oracles.NEAR,
+}
 
 
 def _query(f):
