@@ -40,7 +40,9 @@ def words_of(text: Column) -> Column:
 
 
 def _hash(doc_id: Column) -> Column:
-    return F.xxhash64(F.lit(SEED), doc_id)
+    """60 bits that SQL elsewhere can work out too."""
+    key = F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:

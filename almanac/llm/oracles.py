@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from almanac.llm import licenses, quality, url_filter
+from almanac.llm import licenses, mixing, quality, url_filter
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 _LOWER = f"translate({{}}, '{url_filter._UPPER}', '{url_filter._LOWER}')"
@@ -155,3 +155,20 @@ reach(node, other) AS (SELECT a, b FROM (SELECT a, b FROM links UNION SELECT b,
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(m.least, d.doc_id)) AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT node, min(other) AS least FROM reach GROUP BY node) m ON m.node = d.doc_id
 """
+
+# --- mixing: resharing the excess, found as one level; full passes; and the blocks of the partial pass
+
+_WEIGHTS = f"[{', '.join(str(float(w)) for w in mixing.WEIGHTS)}][(ord - 1) % {len(mixing.WEIGHTS)} + 1]"
+MIXING = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(len({_WORDS}), 0) AS size, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h FROM documents),
+o AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs, row_number() OVER (ORDER BY source NULLS LAST) AS ord FROM d GROUP BY source),
+w AS (SELECT *, {_WEIGHTS} AS weight, {mixing.CAP} * source_size AS most FROM o),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY most / weight, ord ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+v AS (SELECT level AS filled FROM l WHERE level <= most / weight ORDER BY most / weight, ord LIMIT 1),
+t AS (SELECT ord, source, source_size, least(most, filled * weight)::DOUBLE AS target, least(pow(2, ceil(log2(greatest(docs / {mixing.DOCS_PER_BLOCK}, 1)))), {mixing.MAX_BLOCKS})::BIGINT AS blocks FROM l, v),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS passes, round(target)::BIGINT - CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END * source_size AS rest FROM t),
+x AS (SELECT d.doc_id, d.size, d.h, d.h % p.blocks AS block, p.* EXCLUDE (source) FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+r AS (SELECT *, sum(size) OVER (PARTITION BY ord ORDER BY block, h, doc_id, size ROWS UNBOUNDED PRECEDING) AS until FROM x),
+k AS (SELECT *, greatest(0, least(size, rest - (until - size))) AS part FROM r)
+SELECT doc_id, size, source_size, target, CAST(passes * size + part AS BIGINT) AS taken, CAST(CASE WHEN size > 0 THEN passes ELSE 0 END + (part > 0)::INT AS INT) AS n_draws FROM k
+"""

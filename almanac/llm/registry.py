@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {
     "op4_vector_search": oracles.VECTORS,
     "op6_quality_rules": oracles.QUALITY,
     "op7_license_scans": oracles.LICENSES,
+    "op8_mixing": oracles.MIXING,
     "op9_warc": oracles.WARC,
     "op10_near_dedup": oracles.NEAR,
 }
