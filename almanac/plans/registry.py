@@ -11,7 +11,9 @@ from almanac import params
 from almanac.functions import text
 from almanac.operators import articles, languages, mirror, nearby, render, search, sections
 from almanac.plans import derive, samples
+from almanac.runtime import new_folder
 from almanac.sources import wire
+from almanac.streaming.refresh import Mirror
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -366,6 +368,17 @@ def mirror_upsert(spark, sf_dir):
     return mirror.upsert(current, changes, ["user_id"], "event_id")
 
 
+@query("""SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'purchase'""")
+def mirror_refresh(spark, sf_dir):
+    """A stream of changes, followed to its end."""
+    columns = "user_id long, event_id long, value double"
+    folder = new_folder(spark, "mirror")
+    changes = spark.readStream.schema(f"{columns}, event_type string").option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    m = Mirror(spark, f"{folder}/table", columns, ["user_id"], "event_id")
+    m.follow(changes.select("user_id", "event_id", "value", (F.col("event_type") == "purchase").alias("deleted")), f"{folder}/checkpoint").awaitTermination()
+    return m.table()
+
+
 @query("""SELECT r_name, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
 def workspace_rollup(spark, sf_dir):
     w = mirror.Workspace(spark)

@@ -1,9 +1,12 @@
-"""What the package needs from a session before Python code of its own runs on executors."""
+"""What the package needs from a session: its code on the executors, and folders that all of them share."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -24,3 +27,25 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f"{home.name}/{f.relative_to(home)}")
     context.addPyFile(str(path))
     _shipped.add(context.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or, where that is unset, one set here (tests)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="almanac-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one, which goes when the application ends."""
+    path = f"{shared_dir(spark)}/almanac-{name}-{uuid.uuid4().hex[:12]}"
+
+    def drop() -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    atexit.register(drop)
+    return path
