@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.runtime import ship
+from almanac.runtime import new_folder, shared_dir, ship  # noqa: F401
 
 #: Words by ASCII white space, as a Java and as a DuckDB regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,31 +16,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or, where that is unset, one set here (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="almanac-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one, which goes when the application ends."""
-    path = f"{shared_dir(spark)}/almanac-{name}-{uuid.uuid4().hex[:12]}"
-
-    def drop() -> None:
-        with contextlib.suppress(Exception):  # the JVM may be gone already
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-    atexit.register(drop)
-    return path
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written once to the shared folder and read again: later steps neither repeat its work nor lose it with an executor."""
     spark = df.sparkSession
