@@ -61,12 +61,12 @@ def search_bm25(articles: DataFrame, query: str, limit: int = params.SEARCH_LIMI
     edition = articles.where(F.col("lang") == params.language(language)).withColumn("tokens", text.tokens(F.col("full_text")))
     has = [F.sum(F.array_contains("tokens", t).cast("int")).alias(f"df_{i}") for i, t in enumerate(terms)]
     stats = edition.agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("mean"), *has)
-    df = matches(articles, query, language).crossJoin(F.broadcast(stats))  # one row of statistics
+    df = matches(articles, query, language).withColumn("s", stats.select(F.struct("*")).scalar())
     score = F.lit(0.0)
     for i in range(len(terms)):
-        idf = F.log(1 + (F.col("n") - F.col(f"df_{i}") + 0.5) / (F.col(f"df_{i}") + 0.5))
+        idf = F.log(1 + (F.col("s.n") - F.col(f"s.df_{i}") + 0.5) / (F.col(f"s.df_{i}") + 0.5))
         tf = F.col(f"tf_{i}")
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("tokens") / F.col("mean")))
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("tokens") / F.col("s.mean")))
     df = df.withColumn("score", F.round(score, 6)).orderBy(F.col("score").desc(), "pageid").limit(params.row_limit(limit))
     return df.select("title", "pageid", "score")
 
