@@ -17,7 +17,10 @@ empty table gives no rows; repeated rows are scored each. Other columns are not
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import dataclasses
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +53,32 @@ def features(texts: words.Texts) -> tuple[np.ndarray, np.ndarray]:
     return out, w.bounds
 
 
+class Sample:
+    """Training texts. Only the texts are held; buckets are worked out again for each batch, as they need ten times the room."""
+
+    def __init__(self, texts: pa.ChunkedArray | pa.Array | list):
+        column = pa.chunked_array([texts], pa.string()) if isinstance(texts, list) else texts
+        self.column = column.cast(pa.large_string())
+
+    def __len__(self) -> int:
+        return len(self.column)
+
+    def take(self, rows) -> "Sample":
+        return Sample(self.column.take(pa.array(np.asarray(rows, np.int64))))
+
+    def buckets(self, rows) -> list[np.ndarray]:
+        out = []
+        for piece in words.chunks(self.column.take(pa.array(np.asarray(rows, np.int64)))):
+            ids, bounds = features(piece)
+            out += np.split(ids, bounds[1:-1])
+        return out
+
+    def batches(self, size: int = 64) -> Iterator[tuple[range, list[np.ndarray]]]:
+        for a in range(0, len(self), size):
+            rows = range(a, min(len(self), a + size))
+            yield rows, self.buckets(rows)
+
+
 @dataclasses.dataclass
 class Model:
     embedding: np.ndarray  # bucket, SIZE; bucket 0 stands for nothing
@@ -90,11 +119,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(ids, bounds).astype(np.float64), -30, 30)))
 
 
-def _log_odds(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+def _log_odds(docs: Sample, y: np.ndarray) -> np.ndarray:
     """For each bucket, how much likelier it is in a text of label 1: the log-odds less two standard errors, from 0 up."""
     n = np.zeros((2, 1 << BUCKET_BITS))
-    for ids, label in zip(docs, y):
-        n[label, np.unique(ids)] += 1
+    for rows, ids in docs.batches():
+        for own, label in zip(ids, y[rows.start : rows.stop]):
+            n[label, np.unique(own)] += 1
     a, b = n[1] + 0.5, n[0] + 0.5
     odds = np.log(a / (y.sum() + 1)) - np.log(b / (len(y) - y.sum() + 1))
     odds = np.clip(odds - 2 * np.sqrt(1 / a + 1 / b), 0, 4)
@@ -111,8 +141,8 @@ class _Adagrad:
         self.value[at] -= RATE * gradient / np.sqrt(self.seen[at])
 
 
-def train(docs: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
-    """docs: buckets of each text's words (features()); y: labels."""
+def train(docs: Sample, y: np.ndarray, seed: int = 7) -> Model:
+    """y: labels of the sample's texts."""
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.01, (1 << BUCKET_BITS, SIZE)).astype(np.float32)
     e[:, 0] = _log_odds(docs, y)
@@ -128,8 +158,7 @@ def train(docs: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
         for batch in np.array_split(rng.permutation(len(y)), max(1, len(y) // BATCH)):
             grad = {k: np.zeros_like(s.value) for k, s in steps.items() if k != "e"}
             rows, parts = [], []
-            for d in batch:
-                ids = docs[d]
+            for d, ids in zip(batch, docs.buckets(batch)):
                 x = np.zeros((len(ids) + _PAD, SIZE), np.float32)
                 x[: len(ids)] = m.words(ids)
                 n = max(1, len(ids))
@@ -176,11 +205,10 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
     return float((z[order][i] + below) / 2)
 
 
-def calibrate(m: Model, docs: list[np.ndarray], y: np.ndarray, lang: list) -> None:
+def calibrate(m: Model, docs: Sample, y: np.ndarray, lang: list) -> None:
     """Sets base and scale so that 0.5 is the best cut, and a threshold for each language with rows enough."""
     def each(f) -> np.ndarray:
-        parts = [docs[i : i + 128] for i in range(0, len(docs), 128)]
-        return np.concatenate([f(np.concatenate(p), np.concatenate([[0], np.cumsum([len(d) for d in p])])) for p in parts])
+        return np.concatenate([f(np.concatenate(ids), np.concatenate([[0], np.cumsum([len(d) for d in ids])])) for _, ids in docs.batches()])
 
     z = each(m.logits)
     if len(set(y.tolist())) > 1:
@@ -216,18 +244,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     y = rows.column("toxic").to_numpy().astype(np.int64)
     if not len(y) or y.min() == y.max():
         return None
-    lang, texts = rows.column("lang").to_pylist(), []
-    for piece in words.chunks(rows.column("text")):
-        ids, bounds = features(piece)
-        texts += np.split(ids, bounds[1:-1])
+    lang, texts = rows.column("lang").to_pylist(), Sample(rows.column("text").combine_chunks())
+    del rows
     apart = np.arange(len(y)) % 4 == 3 if min(y.sum(), len(y) - y.sum()) >= 8 else np.zeros(len(y), bool)
     fitting = np.flatnonzero(~apart)
-    m = train([texts[i] for i in fitting], y[fitting])
+    m = train(texts.take(fitting), y[fitting])
     check = np.flatnonzero(apart) if apart.any() and len(set(y[apart].tolist())) > 1 else fitting
-    calibrate(m, [texts[i] for i in check], y[check], [lang[i] for i in check])
+    calibrate(m, texts.take(check), y[check], [lang[i] for i in check])
+    del texts
+    _give_back()
     return m
 
 
+def _give_back() -> None:
+    """Returns what training has freed to the system; the driver may go on for hours."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only in the GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _scorer(model: Model | None, keep: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
