@@ -13,11 +13,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of rows that a Python worker is given at once, unless the session asks for fewer: long documents count by size.
+BATCH_BYTES = 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so their workers import it wherever they run."""
+    """Sends this package to the executors once per application, so their workers import it wherever they run, and bounds their batches."""
     context = spark.sparkContext
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:  # not set by the user
+        spark.conf.set(name, str(BATCH_BYTES))
     if context.applicationId in _shipped:
         return
     home = Path(__file__).resolve().parent
