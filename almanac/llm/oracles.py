@@ -87,7 +87,8 @@ c AS (SELECT doc_id, i, gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id,
 r AS (SELECT doc_id, max(twice::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM c),
 n AS (SELECT doc_id, sum(covered) AS n_repeat_words FROM r GROUP BY doc_id),
 m AS (SELECT doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-        length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+        length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+        CAST(coalesce(list_sum(list_transform(range(2, len(ws) + 1), lambda i: (ws[i] = ws[i - 1])::INT)), 0) AS BIGINT) AS n_echoes
       FROM d LEFT JOIN n USING (doc_id)),
 f AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM m),
 sketch AS (SELECT lang, source, u.rate AS rate, u.bin AS bin, count(*) AS n FROM (SELECT lang, source, unnest({_RATE_LIST}) AS u FROM f WHERE NOT base_failed) GROUP BY ALL),

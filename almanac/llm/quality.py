@@ -1,6 +1,7 @@
 """Quality rules with thresholds that the corpus itself sets, per language and source.
 
-One pass counts, for each whole text, words, characters, symbols, repeated lines and repeated 8-word windows. Four rates
+One pass counts, for each whole text, words, characters, symbols, repeated lines, repeated 8-word windows and words that
+repeat the one before. Five rates
 of these (RATES, in thousandths) go into sketches: histograms whose bins are exact below 64 and then grow by a 32nd of
 their power of two, so sketches merge by adding counts and do not depend on partitions. A source's thresholds are fences
 of its quartiles; a sketch of fewer than LEAST documents gives way to its language's, which is the sum of its sources',
@@ -35,10 +36,11 @@ RATES = {
     "symbol_rate": ("n_symbols", "n_words", 50, None, 4.0),
     "dup_line_rate": ("n_dup_lines", "n_lines", 100, None, 4.0),
     "repeat_rate": ("n_repeat_words", "n_words", 75, None, 4.0),
+    "echo_rate": ("n_echoes", "n_words", 50, None, 4.0),
 }
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
 
 
 def _again(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -65,7 +67,11 @@ def measure(texts: words.Texts) -> dict[str, np.ndarray]:
     key = np.sort(_again(row, w.spans(begin, end)))
     out["n_dup_lines"] = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(56)).astype(np.int64), minlength=n).astype(np.int64)
 
-    rolled, at = words.rolling(w.hashes(), w.bounds, WINDOW)
+    h = w.hashes()
+    echo = np.zeros(len(w), bool)
+    echo[1:] = (h[1:] == h[:-1]) & (w.rows[1:] == w.rows[:-1])
+    out["n_echoes"] = words.totals(echo, w.bounds)
+    rolled, at = words.rolling(h, w.bounds, WINDOW)
     key = _again(w.rows[at], rolled)
     order = np.sort(key)
     twice = np.unique(order[1:][order[1:] == order[:-1]])

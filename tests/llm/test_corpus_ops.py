@@ -297,6 +297,8 @@ def test_quality(spark, docs, empty):
     for i, found in got.items():
         for r in found:
             n_words, *rest = _quality(texts[i])
+            ws = SPACED.findall(texts[i] or "")
+            assert r["n_echoes"] == sum(a == b for a, b in zip(ws, ws[1:]))
             assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n_words, *rest)
             assert r["base_failed"] == (n_words < 20 or 100 * rest[3] > 30 * n_words) and not (r["base_failed"] and r["kept"])
     assert sum(map(len, got.values())) == docs.count()
