@@ -1,6 +1,6 @@
 """A read-only data source for the remote service: one HTTP GET per request, with headers, time limit and retries.
 
-    spark.dataSource.register(live.RemoteSource)
+    live.register(spark)
     spark.read.format("encyclopedia").option("requests", json_list).load()
 
 Requests are dealt over partitions; each row is id, url, status, body. Bodies go to almanac.sources.wire.
@@ -17,10 +17,12 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from almanac import params
 from almanac.functions.text import HOST
+from almanac.runtime import ship
 
 #: Limits of one request (fixed values).
 TIMEOUT_S, RETRIES, BASE_S, MOST_S, JITTER = 15, 3, 1.0, 30.0, 0.25
@@ -132,3 +134,8 @@ class RemoteSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader({k.lower(): v for k, v in self.options.items()})
+
+
+def register(spark: SparkSession) -> None:
+    ship(spark)
+    spark.dataSource.register(RemoteSource)

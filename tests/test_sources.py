@@ -62,7 +62,7 @@ def test_live_source(spark):
 
     server = HTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    spark.dataSource.register(live.RemoteSource)
+    live.register(spark)
     asked = [{"id": 1, "operator": "summary", "title": "Python"}, {"id": 2, "operator": "article", "title": "Busy page"}]
     df = spark.read.format("encyclopedia").options(requests=json.dumps(asked), baseUrl=f"http://127.0.0.1:{server.server_port}", userAgent="me/1", retries="1", pause="0.01").load()
     got = {r["id"]: r for r in df.collect()}
