@@ -4,8 +4,9 @@ One pass counts, for each whole text, words, characters, symbols, repeated lines
 repeat the one before. Five rates
 of these (RATES, in thousandths) go into sketches: histograms whose bins are exact below 64 and then grow by a 32nd of
 their power of two, so sketches merge by adding counts and do not depend on partitions. A source's thresholds are fences
-of its quartiles; a sketch of fewer than LEAST documents gives way to its language's, which is the sum of its sources',
-and that to the sum of all. The thresholds, one row per language and source, are then joined to the documents.
+of the quartiles of its own sketch, whatever its size, to which its language's (the sum of its sources') adds the weight
+of PRIOR documents; the sum of all adds as much to a language's. So a few odd documents move no fence, and a small source
+whose documents are alike sets its own. The thresholds, one row per language and source, are then joined to the documents.
 
 Defined cases: a null text has no words and fails the base rule; a null language or source is a group of its own; an
 empty table gives no rows; repeated rows are judged alike, and counted each. Other columns are not read.
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import tables, words
@@ -25,7 +26,9 @@ from almanac.llm import tables, words
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
-#: A sketch of fewer documents is replaced by the next larger one.
+#: The weight, in documents, of the next larger sketch in each.
+PRIOR = 30
+#: Only in the query's SQL: it replaces a sketch of fewer documents by the next larger one.
 LEAST = 300
 #: Thresholds of up to so many groups are broadcast.
 SMALL_GROUPS = 100_000
@@ -131,28 +134,39 @@ def sketches(counted: DataFrame) -> DataFrame:
     return sound.groupBy("lang", "source", "r.rate", "r.bin").agg(F.count("*").alias("n"))
 
 
-def _quartiles(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Documents and quartiles of each sketch."""
-    by = Window.partitionBy(*keys, "rate")
-    df = merged.withColumn("docs", F.sum("n").over(by)).withColumn("until", F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    low = F.min(F.when(4 * F.col("until") >= F.col("docs"), F.col("bin"))).alias("low")
-    high = F.min(F.when(4 * F.col("until") >= 3 * F.col("docs"), F.col("bin"))).alias("high")
-    return df.groupBy(*keys, "rate").agg(F.max("docs").alias("docs"), low, high)
+def _listed(merged: DataFrame, keys: list[str]) -> DataFrame:
+    """Documents and bins of each sketch; a sketch has a bounded number of bins."""
+    bins = F.collect_list(F.struct("bin", F.col("n").cast("double").alias("w")))
+    return merged.groupBy(*keys, "rate").agg(F.sum("n").cast("double").alias("docs"), bins.alias("bins"))
 
 
-def thresholds(parts: DataFrame, groups: DataFrame, least: int = LEAST) -> DataFrame:
+def _joined(sketch: str, larger: str, prior: int) -> str:
+    """The bins of a sketch (documents and bins, or null) and those of the next larger one, which weigh `prior` documents."""
+    none = "cast(array() AS array<struct<bin: bigint, w: double>>)"
+    return f"concat(coalesce({sketch}.bins, {none}), coalesce(transform({larger}.bins, b -> named_struct('bin', b.bin, 'w', b.w * {prior} / {larger}.docs)), {none}))"
+
+
+def _quartile(bins: str, docs: str, k: int) -> Column:
+    """The least bin until which there are k quarters of the weight; bins are in order."""
+    start = "named_struct('until', 0.0D, 'bin', cast(null AS bigint))"
+    step = f"if(a.bin IS NULL AND 4 * (a.until + b.w) >= {k} * {docs}, b.bin, a.bin)"
+    return F.expr(f"aggregate({bins}, {start}, (a, b) -> named_struct('until', a.until + b.w, 'bin', {step}), a -> a.bin)")
+
+
+def thresholds(parts: DataFrame, groups: DataFrame, prior: int = PRIOR) -> DataFrame:
     """parts: sketches(), stored. groups: all (lang, source). One row per group, with <rate>_least and <rate>_most."""
     merged = {k: parts.groupBy(*k, "rate", "bin").agg(F.sum("n").alias("n")) for k in (("lang",), ())}
     levels = [(("lang", "source"), parts), *merged.items()]
     wanted = groups.select("lang", "source", F.explode(F.array(*[F.lit(r) for r in RATES])).alias("rate"))
     for i, (keys, sketch) in enumerate(levels):
-        q = _quartiles(sketch, list(keys)).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("rate").alias("_rate"), F.struct("docs", "low", "high").alias(f"q{i}"))
+        q = _listed(sketch, list(keys)).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("rate").alias("_rate"), F.struct("docs", "bins").alias(f"q{i}"))
         on = F.col("rate") == F.col("_rate")
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
         wanted = wanted.join(q, on, "left").drop("_rate", *[f"_{k}" for k in keys])
-    q = F.coalesce(F.when(F.col("q0.docs") >= least, F.col("q0")), F.when(F.col("q1.docs") >= least, F.col("q1")), F.col("q2"))
-    wanted = wanted.withColumns({"low": bin_start(q["low"]), "high": bin_start(q["high"])})
+    wanted = wanted.withColumn("q1", F.expr(f"named_struct('docs', coalesce(q1.docs, 0.0D) + {prior}, 'bins', {_joined('q1', 'q2', prior)})"))
+    wanted = wanted.select("lang", "source", "rate", F.expr(f"coalesce(q0.docs, 0.0D) + {prior}").alias("docs"), F.array_sort(F.expr(_joined("q0", "q1", prior))).alias("bins"))
+    wanted = wanted.withColumns({"low": bin_start(_quartile("bins", "docs", 1)), "high": bin_start(_quartile("bins", "docs", 3))})
     out = []
     for r, (_, _, spread, below, above) in RATES.items():
         width = F.greatest(F.col("high") - F.col("low"), F.lit(spread))
@@ -172,35 +186,35 @@ def within() -> Column:
     return ok
 
 
-def judged(counted: DataFrame, least: int = LEAST, known: DataFrame | None = None) -> DataFrame:
+def judged(counted: DataFrame, prior: int = PRIOR, known: DataFrame | None = None) -> DataFrame:
     """counted: stored rows of counts() with lang and source. Adds the thresholds, base_failed and kept.
 
     known: thresholds() worked out before; else they come from `counted`.
     """
     if known is None:
-        known = learned(counted, least)
+        known = learned(counted, prior)
     t = tables.small(known, SMALL_GROUPS)
     t = t.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     df = counted.join(t, counted["lang"].eqNullSafe(F.col("_lang")) & counted["source"].eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
     return df.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & within())
 
 
-def learned(counted: DataFrame, least: int = LEAST) -> DataFrame:
+def learned(counted: DataFrame, prior: int = PRIOR) -> DataFrame:
     """The thresholds of all groups of `counted`, stored."""
     parts = tables.stored(sketches(counted), "quality-sketches")
-    return tables.stored(thresholds(parts, counted.select("lang", "source").distinct(), least), "quality-thresholds")
+    return tables.stored(thresholds(parts, counted.select("lang", "source").distinct(), prior), "quality-thresholds")
 
 
-def rules(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def rules(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """docs (doc_id, text, lang, source) to doc_id, lang, source, COUNTS, thresholds, base_failed and kept."""
     counted = tables.stored(counts(docs, ["doc_id", "lang", "source"]), "quality-counts")
-    return judged(counted, least)
+    return judged(counted, prior)
 
 
-def good_documents(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def good_documents(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """The rows of docs that rules() keeps, with their columns. Counts are taken again rather than joined: texts never move."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    known = learned(tables.stored(counts(docs, ["lang", "source"]), "quality-counts"), least)
+    known = learned(tables.stored(counts(docs, ["lang", "source"]), "quality-counts"), prior)
     renamed = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)], "lang", "source", "text")
-    kept = judged(counts(renamed, [*names, "lang", "source"]), least, known).where("kept")
+    kept = judged(counts(renamed, [*names, "lang", "source"]), prior, known).where("kept")
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

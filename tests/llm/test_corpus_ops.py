@@ -327,6 +327,19 @@ def test_quality_thresholds_follow_the_corpus(spark):
             assert judged[i], (i, source, text)
 
 
+def test_quality_of_small_sources(spark):
+    """A source's own rates count at any size, and a few poor documents in a small source do not set its fence."""
+    rng = random.Random(21)
+    rows = []
+    for source, n in (("plain", 1200), ("tables", 250), ("code", 40), ("few", 12)):
+        for _ in range(n):
+            ws = _prose(rng, 60).split()
+            poor = source == "few" and rows[-1][3] != "few"
+            rows.append((len(rows), " ".join([w + "|" for w in ws] if source in ("tables", "code") or poor else ws), "en", source, 0))
+    kept = Counter(r["source"] for r in quality.rules(spark.createDataFrame(rows, DOCS)).where("kept").collect())
+    assert kept == {"plain": 1200, "tables": 250, "code": 40, "few": 11}
+
+
 def test_quality_bins(spark):
     values = [*range(0, 5000), 10**6, 10**9, 2**40 + 12345]
     df = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.bin_of(F.col("v")).alias("b")).select("v", "b", quality.bin_start(F.col("b")).alias("s"), quality.bin_start(F.col("b") + 1).alias("e"))
