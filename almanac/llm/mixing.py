@@ -156,13 +156,16 @@ def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, cap: float = CAP
 
 
 def mixed_documents(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
-    """The mix itself: rows of docs, as often as drawn, shard by shard and shuffled within each. A document drawn in part keeps its first words."""
+    """The mix itself: rows of docs, as often as drawn, shard by shard and shuffled within each.
+
+    A document drawn in part is cut: it keeps its first words, and the white space before them as it is.
+    """
     kept = docs.columns
     sized = tables.stored(docs.select("doc_id", "source", words_of(F.col("text")).alias("size")), "mix-sizes")
     sources, edges = plan(sized, weights, cap, shards)
     df = docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"), words_of(F.col("text")).alias("words"))
     df = draws(df, sources, edges, "words", "from", "id").select("row", "words", F.explode("draws").alias("d"))
-    text = F.when(F.col("d.words") < F.col("words"), F.expr(rf"array_join(slice(regexp_extract_all(row.text, '{tables.WORD}', 0), 1, int(d.words)), ' ')".replace("\\", "\\\\"))).otherwise(F.col("row.text"))
+    text = F.when(F.col("d.words") < F.col("words"), F.expr(rf"array_join(slice(regexp_extract_all(row.text, '{tables.SPACE}{tables.WORD}', 0), 1, int(d.words)), '')".replace("\\", "\\\\"))).otherwise(F.col("row.text"))
     df = df.withColumn("row", F.col("row").withField("text", text))
     if "n_chars" in kept:
         df = df.withColumn("row", F.when(F.col("d.words") < F.col("words"), F.col("row").withField("n_chars", F.length("row.text").cast(docs.schema["n_chars"].dataType))).otherwise(F.col("row")))

@@ -9,6 +9,7 @@ from almanac.runtime import new_folder, shared_dir, ship  # noqa: F401
 
 #: Words by ASCII white space, as a Java and as a DuckDB regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]*"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

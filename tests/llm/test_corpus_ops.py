@@ -435,6 +435,17 @@ def test_mixing_of_many_blocks(spark, monkeypatch):
     assert sum(len(SPACED.findall(r["text"])) for r in out.collect()) == sum(taken.values())
 
 
+def test_mixing_cuts_texts_between_words_only(spark):
+    text = "  one\ttwo\n\nthree  four\nfive six\r\nseven " * 9
+    df = spark.createDataFrame([(i, text, "en", "ab"[i], len(text)) for i in range(2)], DOCS)
+    out = mixing.mixed_documents(df, shards=2).collect()
+    cut = [r for r in out if r["text"] != text]
+    assert len(cut) == 2
+    for r in out:
+        assert text.startswith(r["text"]) and r["n_chars"] == len(r["text"])
+    assert {text[len(r["text"])] for r in cut} <= set(" \t\n\r")
+
+
 def test_urn_draws_every_ball(spark):
     quota = [(i, q) for i, q in enumerate((0, 1, 17, 400, 3))]
     nodes = spark.createDataFrame([(0, 6, quota)], "lo int, hi int, quota array<struct<ord:int,q:bigint>>")
