@@ -9,8 +9,9 @@ of two, which need no padding, so nothing is padded.
 
 Tokenising: pieces between white space, and between letters, digits and ASCII signs, have ids of their own in this
 vocabulary (its splitting pattern never joins them), so ids are looked up by a piece's 64-bit hash in a table that a worker
-keeps between batches (CACHE_SLOTS at most, then emptied). Pieces not seen before go through the tokenizer itself; texts that hold the
-string of a special token go through it whole.
+keeps between batches (CACHE_SLOTS at most, then emptied). A second, independent hash of the piece is kept beside and
+compared: a text with a piece whose second hash differs goes through the tokenizer whole, as do texts that hold the string
+of a special token. Pieces not seen before go through the tokenizer itself.
 
 Defined cases: a null or empty text is the closing id alone; a null doc_id is kept; repeated rows are packed each; an
 empty table gives no rows. Columns besides doc_id and text are not read.
@@ -62,6 +63,7 @@ class Table:
 
     def clear(self) -> None:
         self.keys = np.zeros(self.slots, np.uint64)
+        self.check = np.zeros(self.slots, np.uint64)
         self.start = np.zeros(self.slots, np.int32)
         self.size = np.zeros(self.slots, np.int32)
         self.ids = np.zeros(1 << 16, np.uint16)
@@ -79,8 +81,8 @@ class Table:
             left, at = left[on], (at[on] + 1) & (self.slots - 1)
         return found
 
-    def add(self, h: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """New distinct hashes, with their ids one after another."""
+    def add(self, h: np.ndarray, check: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New distinct hashes and the second hashes of their pieces, with their ids one after another."""
         while self.n_ids + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.n_ids : self.n_ids + len(ids)] = ids
@@ -92,7 +94,7 @@ class Table:
             free = self.keys[at] == 0
             self.keys[at[free]] = h[left[free]]
             won = free & (self.keys[at] == h[left])
-            self.start[at[won]], self.size[at[won]] = start[left[won]], sizes[left[won]]
+            self.start[at[won]], self.size[at[won]], self.check[at[won]] = start[left[won]], sizes[left[won]], check[left[won]]
             left, at = left[~won], (at[~won] + 1) & (self.slots - 1)
 
 
@@ -166,7 +168,7 @@ class Tokens:
         """Ids of all texts, one after another, and their number for each text, without closing ids."""
         w = texts.words(_NOT_SPACE, fold=True)
         starts, ends = self._spans_of(w, texts)
-        h = w.spans(starts, ends)
+        h, check = w.spans(starts, ends), w.spans(starts, ends, 1)
         h[h == 0] = 1
         slot = self.table.find(h)
         miss = np.flatnonzero(slot < 0)
@@ -181,15 +183,17 @@ class Tokens:
             ids, sizes = self._tokenise([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
             if len(new) > self.table.slots // 2:  # one text with more distinct pieces than the table holds
                 return self._uncached(texts)
-            self.table.add(new, ids, sizes)
+            self.table.add(new, check[at], ids, sizes)
             slot[miss] = self.table.find(h[miss])
         size = self.table.size[slot].astype(np.int64)
         ids = self.table.ids[ragged(self.table.start[slot].astype(np.int64), size)]
         per_text = words.totals(size, np.searchsorted(starts, texts.offsets))
         low = w.bytes.tobytes()
+        whole = np.unique(np.searchsorted(texts.offsets, starts[np.flatnonzero(self.table.check[slot] != check)], "right") - 1).tolist()
         if b"<|" in low and any(s in low for s in self.special):
-            ids, per_text = self._with_special(texts, ids, per_text, low)
-        return ids, per_text
+            o = texts.offsets.tolist()
+            whole += [i for i, (a, b) in enumerate(zip(o, o[1:])) if any(s in low[a:b] for s in self.special)]
+        return self._with_whole(texts, ids, per_text, sorted(set(whole))) if whole else (ids, per_text)
 
     def _spans_of(self, w: words.Words, texts: words.Texts) -> tuple[np.ndarray, np.ndarray]:
         if not len(w):
@@ -204,12 +208,12 @@ class Tokens:
         parts = [self._whole(raw[a:b]) for a, b in zip(o, o[1:])]
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
-    def _with_special(self, texts, ids, per_text, low):
+    def _with_whole(self, texts: words.Texts, ids: np.ndarray, per_text: np.ndarray, rows: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids, with those of the texts in `rows` taken from the tokenizer itself."""
         raw, o = texts.data.tobytes(), texts.offsets.tolist()
         parts = np.split(ids, np.cumsum(per_text)[:-1])
-        for i, (a, b) in enumerate(zip(o, o[1:])):
-            if any(s in low[a:b] for s in self.special):
-                parts[i] = self._whole(raw[a:b])
+        for i in rows:
+            parts[i] = self._whole(raw[o[i] : o[i + 1]])
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 

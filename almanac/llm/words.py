@@ -1,16 +1,23 @@
-"""Words of many texts at once, in numpy: places, 64-bit hashes and rolling hashes, without a Python object per word."""
+"""Words of many texts at once, in numpy: places, 64-bit hashes and rolling hashes, without a Python object per word.
+
+A span's hash runs over its blocks of eight bytes, each mixed before the next is added, so that no pattern of bytes cancels
+out (a polynomial modulo 2 ** 64 gives a Thue-Morse word and its complement one value, whatever its base). Spans of more
+than LONG_BYTES, of which a text cannot have many, go through BLAKE2b.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-_P = 0x9E3779B97F4A7C15 | 5
-_P_INVERSE = pow(_P, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: Masks of the first 0 to 8 bytes of a block.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_BYTES = 512
 
 #: Texts of one batch are worked on in pieces of about this many bytes; a longer text is a piece of its own.
 CHUNK_BYTES = 1 << 20
@@ -35,16 +42,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for k, base in enumerate((_P, _P_INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table)
-    return _powers[0][:n], _powers[1][:n]
-
-
 class Texts:
     """Texts in one byte array; text i is at bytes offsets[i] to offsets[i + 1]."""
 
@@ -97,7 +94,7 @@ class Words:
         self.inside, self.starts, self.ends = inside, np.flatnonzero(first), np.flatnonzero(last) + 1
         self.bounds = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.bounds)
-        self._sums: np.ndarray | None = None
+        self._blocks: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.starts)
@@ -107,13 +104,27 @@ class Words:
         """The text of each word."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each byte span; equal spans have equal hashes."""
-        power, inverse = _power(len(self.bytes) + 1)
-        if self._sums is None:
-            self._sums = np.zeros(len(self.bytes) + 1, np.uint64)
-            np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * power[1:], out=self._sums[1:])
-        return mix((self._sums[ends] - self._sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    def spans(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each byte span; equal spans have equal hashes, and another seed gives an independent one."""
+        if self._blocks is None:
+            padded = np.concatenate([self.bytes, np.zeros(8, np.uint8)])
+            # the eight bytes from each place on, read where they lie
+            self._blocks = np.ndarray(len(self.bytes) + 1, "<u8", padded, 0, (1,))
+        size = (ends - starts).astype(np.int64)
+        out = mix((size.astype(np.uint64) + np.uint64(seed << 32)) * _GOLD)
+        left = np.flatnonzero(size)
+        if len(left) and size.max() > LONG_BYTES:
+            raw = memoryview(np.ascontiguousarray(self.bytes))
+            for i in np.flatnonzero(size > LONG_BYTES).tolist():
+                digest = hashlib.blake2b(raw[int(starts[i]) : int(ends[i])], digest_size=8, key=seed.to_bytes(8, "little")).digest()
+                out[i] = int.from_bytes(digest, "little")
+            left = left[size[left] <= LONG_BYTES]
+        at, rest = starts[left], size[left]
+        while len(left):
+            out[left] = mix((out[left] ^ (self._blocks[at] & _FIRST[np.minimum(rest, 8)])) * _GOLD)
+            more = rest > 8
+            left, at, rest = left[more], at[more] + 8, rest[more] - 8
+        return out
 
     def hashes(self) -> np.ndarray:
         return self.spans(self.starts, self.ends)
