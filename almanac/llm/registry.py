@@ -34,8 +34,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    return sharding.place(docs.select("doc_id", "n_chars"), ["doc_id"])
+    return sharding.place(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
 @_query

@@ -3,11 +3,12 @@
 The table has a prime number of slots. Every shard has its own order of preference over them (an offset and a step from
 a hash of its name); shards take turns, each claiming its first slot still free, until all are taken. Shares differ by
 one slot at most, and removing a shard moves little besides its own slots. The table depends only on the shards' names,
-never on data: SLOTS rows, which is the proven bound of what is broadcast. A row's place is one hash and one lookup.
+never on data: at most MOST_SLOTS rows, which is the proven bound of what is broadcast (more slots are refused). A row's
+place is one hash and one lookup.
 
 Defined cases: a null key is a key like any other, so its rows lie together; rows with equal keys lie together, in any
 number (placing shuffles nothing, so no key is too frequent); an empty table gives no rows; a column named slot or
-shard, in any case, gives way to the result's.
+shard, in any case, gives way to the result's, and every other column is kept, whatever its name.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLOTS = 65_537
+#: The most slots, and so the most rows that are broadcast.
+MOST_SLOTS = 1 << 20
 SHARDS = tuple(f"shard-{i:03d}" for i in range(128))
 
 
@@ -34,8 +37,8 @@ def lookup(shards: Sequence[str], slots: int = SLOTS) -> list[int]:
     """For each slot, the number of its shard."""
     if not shards or len(set(shards)) != len(shards):
         raise ValueError("shards must be distinct names, one at least")
-    if not _is_prime(slots) or slots < len(shards):
-        raise ValueError("slots must be a prime number, and at least as many as shards")
+    if not _is_prime(slots) or slots < len(shards) or slots > MOST_SLOTS:
+        raise ValueError(f"slots must be a prime number up to {MOST_SLOTS}, and at least as many as shards")
     at = [_number(s, "offset") % slots for s in shards]
     step = [_number(s, "step") % (slots - 1) + 1 for s in shards]
     owner, free = [-1] * slots, slots
@@ -60,11 +63,11 @@ def slot_of(*keys: Column, slots: int = SLOTS) -> Column:
 
 def place(df: DataFrame, keys: Sequence[str], shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> DataFrame:
     """df with slot and shard of each row."""
-    where = F.broadcast(table(df.sparkSession, shards, slots).withColumnsRenamed({"slot": "_slot", "shard": "_shard"}))
-    own = [df[c] for c in df.columns if c.lower() not in ("slot", "shard", "_slot", "_shard")]
-    slotted = df.select(*own, slot_of(*[df[k] for k in keys], slots=slots).alias("slot"))
-    placed = slotted.join(where, slotted["slot"] == where["_slot"])
-    return placed.select(*[slotted[c] for c in slotted.columns], where["_shard"].alias("shard"))
+    own = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("slot", "shard")]
+    # all columns travel in a struct, so that no name of theirs can clash with the lookup's
+    slotted = df.select(F.struct(*own).alias("row"), slot_of(*[df[k] for k in keys], slots=slots).alias("slot"))
+    placed = slotted.join(F.broadcast(table(df.sparkSession, shards, slots)), "slot")
+    return placed.select("row.*", "slot", "shard")
 
 
 def balance(placed: DataFrame, weight: Column | None = None) -> DataFrame:
