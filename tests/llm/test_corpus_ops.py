@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from almanac.llm import licenses, mixing, near_dup, packing, quality, sharding, tables, toxicity, url_filter, vector_search, warc, words
@@ -71,6 +73,37 @@ def test_words_and_hashes():
         assert len(set(seen.values())) == len(seen)
 
 
+def _thue_morse(n, letters):
+    """A word that polynomial hashes modulo a power of two cannot tell from its complement."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 512, 513, 1024, 2048, 8192])
+def test_hashes_tell_thue_morse_words_apart(n):
+    (texts,) = words.chunks(pa.array([" ".join(_thue_morse(n, x) for x in ("ab", "ba", "ab"))]))
+    w = texts.words(words.SPACED)
+    for seed in (0, 1):
+        h = w.spans(w.starts, w.ends, seed)
+        assert h[0] == h[2] != h[1]
+    assert (w.spans(w.starts, w.ends, 1) != w.hashes()).all()
+
+
+def test_packing_of_words_that_clash():
+    from tokenizers import Tokenizer
+
+    full = Tokenizer.from_file(packing.tokenizer_path())
+    texts = [f"one {_thue_morse(2048, 'ab')} two {_thue_morse(2048, 'ba')} three", "plain words", _thue_morse(1024, "ba")]
+    want = [full.encode(t, add_special_tokens=False).ids for t in texts]
+    tok = packing.Tokens(packing.tokenizer_path())
+    (piece,) = words.chunks(pa.array(texts))
+    for _ in range(2):
+        ids, sizes = tok.encode(piece)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    tok.table.check ^= np.uint64(1)  # as if all pieces clashed: every text goes through the tokenizer
+    ids, sizes = tok.encode(piece)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+
 def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
@@ -144,12 +177,15 @@ def test_sharding(spark, docs, empty):
     moved = sum(a != b for a, b in zip(owner, fewer) if a != 6)
     assert moved < 0.1 * 1009
     placed = sharding.place(docs, ["doc_id"], names, 1009)
-    assert placed.count() == docs.count() and set(placed.columns) >= {"doc_id", "slot", "shard"}
+    assert placed.count() == docs.count() and placed.columns == [c for c in docs.columns if c != "slot"] + ["slot", "shard"]
+    assert {r["_slot"] for r in placed.select("_slot").collect()} == {"clash"}
+    for r in placed.where("doc_id IS NOT NULL").select("doc_id", "slot").collect():
+        assert r["slot"] == struct.unpack("q", struct.pack("Q", xxhash.xxh64_intdigest(struct.pack("<q", r["doc_id"]), 42)))[0] % 1009
     assert all(r["shard"] == names[owner[r["slot"]]] for r in placed.select("slot", "shard").collect())
     assert len({r["slot"] for r in placed.where("doc_id = 0").collect()}) == 1
     assert sum(r["n_rows"] for r in sharding.balance(placed).collect()) == docs.count()
     assert sharding.place(empty, ["doc_id"], names, 1009).count() == 0
-    for bad in (dict(shards=[], slots=7), dict(shards=["a", "a"], slots=7), dict(shards=["a"], slots=8)):
+    for bad in (dict(shards=[], slots=7), dict(shards=["a", "a"], slots=7), dict(shards=["a"], slots=8), dict(shards=["a"], slots=(1 << 31) - 1)):
         with pytest.raises(ValueError):
             sharding.lookup(**bad)
     assert "Python" not in placed._jdf.queryExecution().executedPlan().toString()
@@ -283,6 +319,66 @@ def test_toxicity_of_odd_rows(spark, docs, empty):
     assert toxicity.clean_documents(docs, labels.where("false")).count() == docs.count()
 
 
+def test_pooling_and_gradients_by_plain_loops():
+    rng = np.random.default_rng(2)
+    texts = ["one two three two", "", "nine", "ten ten eleven twelve " * 9]
+    sample = toxicity.Sample.of(pa.array(texts))
+    y = np.array([1, 0, 1, 0])
+    m = toxicity.Model(rng.normal(0, 0.5, (1 << toxicity.BUCKET_BITS, toxicity.SIZE)).astype(np.float32), [rng.normal(0, 0.5, (w, toxicity.SIZE, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS], rng.normal(0, 0.1, 18).astype(np.float32), rng.normal(0, 0.5, 18).astype(np.float32), 0.1)
+    m.embedding[0] = 0
+    ids, bounds = sample.buckets()
+    (piece,) = words.chunks(pa.array(texts))
+    assert (ids == toxicity.features(piece)[0]).all() and bounds.tolist() == [0, 4, 4, 5, 41]
+
+    def pooled(i):
+        x = [m.embedding[row].sum(0) for row in ids[bounds[i] : bounds[i + 1]]] + [np.zeros(toxicity.SIZE)] * 3
+        windows = max(1, bounds[i + 1] - bounds[i])
+        return [max(sum(x[a + j] @ f[j, :, k] for j in range(len(f))) for a in range(windows)) + m.bias[q * toxicity.FILTERS + k] for q, f in enumerate(m.filters) for k in range(toxicity.FILTERS)]
+
+    assert np.allclose(m.pooled(m.words(ids), bounds), [pooled(i) for i in range(4)], atol=1e-4)
+    weight = np.array([0.5, 1.0, 2.0, 1.5])
+    grad, rows, of_rows = toxicity.gradients(m, sample, y, weight)
+
+    def loss():
+        p = m.scores(ids, bounds)
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+
+    def slope(array, at, step=1e-2):
+        had = array[at]
+        array[at] = had + step
+        more = loss()
+        array[at] = had - step
+        less = loss()
+        array[at] = had
+        return (more - less) / (2 * step)
+
+    for name, array in (("out", m.out), ("bias", m.bias), (1, m.filters[1]), (2, m.filters[2])):
+        for at in [tuple(rng.integers(0, n) for n in array.shape) for _ in range(6)]:
+            assert abs(slope(array, at) - grad[name][at]) < 0.02 + 0.02 * abs(grad[name][at])
+    for i in rng.choice(len(rows), 12, replace=False):
+        assert abs(slope(m.embedding, (rows[i], 3)) - of_rows[i, 3]) < 0.02 + 0.02 * abs(of_rows[i, 3])
+    again = toxicity.Model.from_bytes(m.to_bytes())
+    assert (again.scores(ids, bounds) == m.scores(ids, bounds)).all()
+
+
+def test_toxicity_with_one_huge_text_and_repeated_ids(spark):
+    df, labels, truth = _toxic_corpus(spark)
+    n = toxicity.training_rows(df, labels).count()
+    assert n == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in truth)
+    # whichever labelled text is too long, it alone is not learned from
+    huge = df.withColumn("text", F.when(F.col("doc_id") == 7, F.repeat(F.lit("long words here "), 20_000)).otherwise(F.col("text")))
+    assert toxicity.training_rows(huge, labels).count() == n - 1
+    assert toxicity.training_rows(df, labels, positive=10, negative=20).count() == 30
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(huge, labels).collect()}
+    assert sum(got[i] == t for i, t in truth.items() if i != 7) > 0.95 * len(truth)
+    twice = df.union(df.withColumn("text", F.lit("another text of the same id"))).repartition(7)
+    scores = [sorted((r["doc_id"], r["score"]) for r in toxicity.toxicity(twice.repartition(k, "lang"), labels).collect()) for k in (2, 5)]
+    assert len(scores[0]) == 1000 and scores[0] == scores[1]
+    assert toxicity.training_rows(twice, labels).count() == n
+    none = toxicity.clean_documents(df.where("false"), labels)
+    assert none.columns == df.columns and none.count() == 0
+
+
 def _quality(text):
     ws = SPACED.findall(text or "")
     lines = [x for x in (text or "").split("\n") if SPACED.search(x)]
