@@ -111,25 +111,36 @@ def _template_words(text: str) -> list[str]:
 
 def _template_rows() -> str:
     rows = []
-    for number, (exact, label, text) in enumerate([(True, *p) for p in licenses.PHRASES] + [(False, *n) for n in licenses.NOTICES]):
+    notices = [(True, label, text, text) for label, text in licenses.PHRASES] + [(False, *n) for n in licenses.NOTICES]
+    for number, (exact, label, text, key) in enumerate(notices):
         ws = _template_words(text)
         n = len(ws) - licenses.K + 1
-        rows += [f"({number}, '{label}', {str(exact).lower()}, {i}, {n}, '{' '.join(ws[i : i + licenses.K])}')" for i in range(n)]
+        inside = f" {' '.join(_template_words(key))} " if key else ""
+        before = f" {' '.join(ws)} ".index(inside)
+        at = f" {' '.join(ws)} "[:before].count(" ") if key else 0
+        keys = range(at, at + max(0, len(_template_words(key)) - licenses.K + 1))
+        rows += [f"({number}, '{label}', {str(exact).lower()}, {i}, {str(i in keys).lower()}, {n}, {len(keys)}, '{' '.join(ws[i : i + licenses.K])}')" for i in range(n)]
     return ", ".join(rows)
 
 
 LICENSES = rf"""
-WITH tpl(template, label, phrase, place, n, gram) AS (VALUES {_template_rows()}),
+WITH tpl(template, label, phrase, place, is_key, n, n_key, gram) AS (VALUES {_template_rows()}),
 d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(ws))) AS i, ws FROM d),
-votes AS (SELECT doc_id, template, label, phrase, t.n, i - 1 - place AS diagonal, count(DISTINCT place) AS votes FROM g JOIN tpl t ON ws[i] || ' ' || ws[i + 1] = t.gram GROUP BY ALL),
-base AS (SELECT doc_id, label, diagonal AS pos FROM votes WHERE phrase AND votes = n),
-o AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {licenses.MOST_GAP} THEN 0 ELSE 1 END AS new FROM votes WHERE NOT phrase AND votes >= least({licenses.LEAST_VOTES}, n)),
-i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS island FROM o),
-spans AS (SELECT doc_id, label, least(1.0, sum(votes) / any_value(n)) AS covered FROM i GROUP BY doc_id, template, label, island),
+hits AS (SELECT DISTINCT doc_id, template, label, phrase, t.n, n_key, is_key, place, i - 1 - place AS diagonal FROM g JOIN tpl t ON ws[i] || ' ' || ws[i + 1] = t.gram),
+base AS (SELECT doc_id, label, diagonal AS pos FROM hits WHERE phrase GROUP BY doc_id, template, label, n, diagonal HAVING count(*) = n),
+o AS (SELECT *, count(*) OVER (PARTITION BY doc_id, template, diagonal) AS votes FROM hits WHERE NOT phrase),
+e AS (SELECT DISTINCT doc_id, template, diagonal, n FROM o WHERE votes >= least({licenses.LEAST_VOTES}, n)),
+f AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= greatest({licenses.MOST_GAP}, n // 4) THEN 0 ELSE 1 END AS opens FROM e),
+i AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS island FROM f),
+spans AS (SELECT o.doc_id, o.template, o.label, island, o.n, count(DISTINCT place) AS places, count(DISTINCT CASE WHEN is_key THEN place END) = n_key AS has_key, min(diagonal + place) AS starts, max(diagonal + place + {licenses.K}) AS ends
+          FROM o JOIN i USING (doc_id, template, diagonal) GROUP BY o.doc_id, o.template, o.label, island, o.n, n_key),
+counting AS (SELECT * FROM spans WHERE has_key AND places / n >= {licenses.COVERED}),
+kept AS (SELECT a.doc_id, a.label FROM counting a WHERE NOT EXISTS (SELECT 1 FROM counting b WHERE b.doc_id = a.doc_id AND b.label <> a.label AND b.starts < a.ends AND a.starts < b.ends
+         AND (b.places > a.places OR (b.places = a.places AND (b.n < a.n OR (b.n = a.n AND b.template < a.template)))))),
 b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
-l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM spans WHERE covered >= {licenses.COVERED}) GROUP BY doc_id),
-s AS (SELECT doc_id, max(covered) AS covered FROM spans GROUP BY doc_id)
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM kept) GROUP BY doc_id),
+s AS (SELECT doc_id, max(places / n) AS covered FROM spans GROUP BY doc_id)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
 CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(covered, 0.0) END AS DOUBLE) AS score
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN s USING (doc_id)

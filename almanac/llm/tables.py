@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 from almanac.runtime import new_folder, shared_dir, ship  # noqa: F401
 
@@ -26,6 +27,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, most: int) -> DataFrame:
-    """Marks a stored table for broadcast if it has at most `most` rows; else the join shuffles, with skewed keys split by AQE."""
-    return F.broadcast(df) if df.count() <= most else df
+#: A table of more bytes than this is not broadcast, however few its rows.
+MOST_BYTES = 64 << 20
+
+
+def _bytes(field: StructField) -> Column:
+    """About how many bytes a column's value takes."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, StringType | BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(field.dataType, ArrayType | MapType | StructType):
+        return F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) + 32
+    return F.lit(16)
+
+
+def small(df: DataFrame, most: int, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Marks a stored table for broadcast if it is counted to have at most `most` rows and most_bytes; else the join shuffles, with skewed keys split by AQE."""
+    n, size = df.agg(F.count("*"), F.sum(sum(map(_bytes, df.schema.fields), F.lit(0)))).first()
+    return F.broadcast(df) if n <= most and (size or 0) <= most_bytes else df.hint("merge")

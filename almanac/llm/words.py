@@ -104,12 +104,15 @@ class Words:
         """The text of each word."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def spans(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each byte span; equal spans have equal hashes, and another seed gives an independent one."""
+    def block(self, at: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """The bytes from each place on, at most `rest` and at most eight of them, as one number."""
         if self._blocks is None:
             padded = np.concatenate([self.bytes, np.zeros(8, np.uint8)])
-            # the eight bytes from each place on, read where they lie
-            self._blocks = np.ndarray(len(self.bytes) + 1, "<u8", padded, 0, (1,))
+            self._blocks = np.ndarray(len(self.bytes) + 1, "<u8", padded, 0, (1,))  # read where they lie
+        return self._blocks[at] & _FIRST[np.minimum(rest, 8)]
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each byte span; equal spans have equal hashes, and another seed gives an independent one."""
         size = (ends - starts).astype(np.int64)
         out = mix((size.astype(np.uint64) + np.uint64(seed << 32)) * _GOLD)
         left = np.flatnonzero(size)
@@ -121,7 +124,7 @@ class Words:
             left = left[size[left] <= LONG_BYTES]
         at, rest = starts[left], size[left]
         while len(left):
-            out[left] = mix((out[left] ^ (self._blocks[at] & _FIRST[np.minimum(rest, 8)])) * _GOLD)
+            out[left] = mix((out[left] ^ self.block(at, rest)) * _GOLD)
             more = rest > 8
             left, at, rest = left[more], at[more] + 8, rest[more] - 8
         return out

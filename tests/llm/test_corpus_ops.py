@@ -474,6 +474,43 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_every_notice_has_its_own_label_alone(spark):
+    filler = "nothing to see here but plain words in a row"
+    rows, want = [], {}
+
+    def add(text, *labels):
+        want[len(rows)] = set(labels)
+        rows.append((len(rows), text))
+
+    for label, text, _ in licenses.NOTICES:
+        ws = text.split()
+        add(text, label)
+        add(f"{filler} {text.upper()} {filler}", label)
+        if len(ws) > 20:
+            add(" ".join(ws[: len(ws) // 3] + ["five", "words", "are", "put", "in"] + ws[len(ws) // 3 :]), label)
+        add(" ".join(x for w in ws for x in (w, "zz")))  # no two words in a row
+        add(text.replace("General Public", "Lesser General Public").replace("Apache", "Other").replace("Mozilla", "Other").replace("MIT", "XYZ"), *[label] * (label in ("bsd", "isc", "mit", "apache") and len(ws) > 20 or label.startswith("cc") or "WITHOUT ANY" in text))
+    for text in ("under cc by " * 40, "licensed under cc " * 30, "by nc by sa by nd " * 30, "license version 2 0 " * 9, "Licensed under the EPL License, Version 2.0", "permission is hereby granted " * 20, "word " * 500):
+        add(text)
+    for (one, a, _), (two, b, _) in zip(licenses.NOTICES, licenses.NOTICES[1:]):
+        add(f"{a} {filler} {b}", one, two)
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        base = set(filter(None, _licenses(text)[4].split(",")))
+        assert set(filter(None, found[i]["labels"].split(","))) == want[i] | base, (i, text)
+        for s in found[i]["spans"]:
+            assert s["label"] in want[i] and s["covered"] >= licenses.COVERED
+
+
+def test_words_of_votes_are_compared_whole():
+    known = licenses.Vocabulary(["alpha merchantability be"])
+    (texts,) = words.chunks(pa.array(["merchantability merchantabilitx merchantabilityy be bee b alpha"]))
+    w = texts.words(words.ALNUM, fold=True)
+    assert (known.numbers(w, w.hashes()) > 0).tolist() == [True, False, False, True, False, False, True]
+    same = np.full(len(w), known.hashes[0])  # as if every word's hash clashed
+    assert (known.numbers(w, same) > 0).sum() == 1
+
+
 def test_mixing(spark, docs, empty):
     got = mixing.mix(docs).withColumn("taken", F.expr("aggregate(draws, 0L, (a, d) -> a + d.words)")).collect()
     texts = dict(enumerate(_texts())) | {None: "a row without number of some length"}
