@@ -1,14 +1,17 @@
 """Mixing sources to target weights, by a multivariate-hypergeometric splitting tree. DataFrame functions only.
 
-Documents of a source are dealt by a hash of doc_id into at most MAX_BLOCKS blocks (a power of two, of about
-DOCS_PER_BLOCK documents while that suffices). A source with target t and size s gives its floor(t / s) full passes and
-then its first blocks up to the remaining words; the block at which they end gives documents in hash order, the last of
-them in part. These block instances are the source's quota. A tree over the output shards halves the shards again and
-again: at each node an urn holds the quotas of all sources, and the left half draws its share without replacement. Each
-source's instances, in the order of a permutation, then fill the shards' quotas one after another, so the draws of
-different shards are disjoint. Within a shard rows are ordered by a hash.
-
-Plans are one row per source; the only rows ever ordered together are those of one block.
+Documents of a source are dealt by a hash of doc_id into blocks (a power of two of them, of about DOCS_PER_BLOCK
+documents). A source with target t and size s gives its floor(t / s) full passes and then its first blocks up to the
+remaining words; the block at which they end gives documents in hash order, the last of them in part. These block
+instances are the source's quota. A tree over the output shards halves the shards again and again: at each node an urn
+holds a ball for each block instance of every source, and the left half draws its share of them without replacement, by a
+keyed hash that differs at every node. So the quotas of a shard are a multivariate-hypergeometric draw, and those of all
+shards add up to each source's quota. Each source's instances, permuted by another keyed hash, then fill the shards'
+quotas one after another, so the draws of different shards are disjoint. Within a shard rows are ordered by a third hash.
+
+Shards follow the corpus: one for every WORDS_PER_SHARD words, as a power of two, LEAST_SHARDS at least. Balls are rows, one
+for about DOCS_PER_BLOCK documents and pass; documents meet the plan by their source and block, and nothing else is
+gathered but a block's documents where a source's words end.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; a source without words has
 target 0; an empty table gives no rows; repeated rows of one doc_id are drawn alike (in the block where a source's words
@@ -26,23 +29,32 @@ from almanac.llm import tables
 
 WEIGHTS = (1, 2, 3)
 CAP = 3.0
-SHARDS = 64
+LEAST_SHARDS = 64
+WORDS_PER_SHARD = 1 << 25
 DOCS_PER_BLOCK = 512
-MAX_BLOCKS = 4096
 SEED = 20011
-#: Plans of up to so many sources are broadcast.
+#: Plans of up to so many sources, and of so many blocks, are broadcast.
 SMALL_SOURCES = 20_000
-_PRIME = 2_147_483_647
+SMALL_BLOCKS = 500_000
 
 
 def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(tables.WORD)), F.lit(0)).cast("long")
 
 
+def _keyed(*parts: Column | str) -> Column:
+    """60 bits of the parts, and the seed, that SQL elsewhere can work out too."""
+    text = [F.lit(x) if isinstance(x, str) else F.coalesce(x.cast("string"), F.lit("null")) for x in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(SEED)), *text)), 1, 15), 16, 10).cast("long")
+
+
 def _hash(doc_id: Column) -> Column:
-    """60 bits that SQL elsewhere can work out too."""
-    key = F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
+    return _keyed(doc_id)
+
+
+def shards_for(words: int) -> int:
+    """One for every WORDS_PER_SHARD words, as a power of two."""
+    return max(LEAST_SHARDS, 1 << max(0, -(-words // WORDS_PER_SHARD) - 1).bit_length())
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -64,43 +76,50 @@ def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     return df.withColumn("target", F.least("most", F.col("level") * F.col("weight"))).drop("most", "ratio", "level")
 
 
-def _split(nodes: DataFrame) -> DataFrame:
-    """Every node of more than one shard becomes two; an urn of all sources' block instances is drawn without replacement."""
-    half = "(lo + hi) div 2"
-    parts = nodes.selectExpr("lo", "hi", f"{half} AS mid", "quota", "aggregate(quota, 0L, (a, s) -> a + s.q) AS balls")
-    parts = parts.selectExpr("*", "cast(round(balls * (mid - lo) / (hi - lo)) AS bigint) AS slots")
-    urn = f"""aggregate(quota, named_struct('n', slots, 'r', balls, 'open', cast(array() AS array<bigint>)),
-        (a, s) -> named_struct(
-            'n', aggregate(if(s.q > 0, sequence(1L, s.q), cast(array() AS array<bigint>)), named_struct('n', a.n, 'r', a.r),
-                 (b, i) -> named_struct(
-                     'n', if(pmod(xxhash64({SEED}, lo, hi, s.ord, i), 9007199254740992) * double(b.r) < 9007199254740992 * double(b.n), b.n - 1L, b.n),
-                     'r', b.r - 1L),
-                 b -> b.n),
-            'r', a.r - s.q,
-            'open', array_append(a.open, a.n)),
-        a -> a.open)"""
-    # open: the slots left before each source, none at the end; their differences are what the sources gave
-    parts = parts.selectExpr("*", f"{urn} AS open")
-    parts = parts.selectExpr("*", "transform(open, (x, i) -> x - coalesce(get(open, i + 1), 0L)) AS took")
-    left = "named_struct('lo', lo, 'hi', mid, 'quota', transform(quota, (s, i) -> named_struct('ord', s.ord, 'q', took[i])))"
-    right = "named_struct('lo', mid, 'hi', hi, 'quota', transform(quota, (s, i) -> named_struct('ord', s.ord, 'q', s.q - took[i])))"
-    whole = "named_struct('lo', lo, 'hi', hi, 'quota', quota)"
-    return parts.selectExpr(f"explode(if(hi - lo > 1, array({left}, {right}), array({whole}))) AS node").select("node.*")
-
-
-def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
-    """sized: stored rows (doc_id, source, size). Returns, stored, one row per source, and what boundary documents give.
+def _split(balls: DataFrame) -> DataFrame:
+    """balls (lo, hi, ord, i) of the nodes of one level, by their shards lo to hi - 1: each goes to its node's left or right half. A node of one shard stays."""
+    node = Window.partitionBy("lo", "hi")
+    drawn = F.row_number().over(node.orderBy("key", "ord", "i"))
+    df = balls.withColumn("mid", F.expr("if(hi - lo > 1, (lo + hi) div 2, hi)")).withColumn("key", _keyed(F.lit("urn"), F.col("lo"), F.col("hi"), F.col("ord"), F.col("i")))
+    df = df.withColumns({"n": F.count("*").over(node), "drawn": drawn})
+    # the left half's share of the balls, rounded
+    left = F.expr("drawn <= (2 * n * (mid - lo) + (hi - lo)) div (2 * (hi - lo))")
+    return df.select(F.when(left, F.col("lo")).otherwise(F.col("mid")).cast("int").alias("lo"), F.when(left, F.col("mid")).otherwise(F.col("hi")).cast("int").alias("hi"), "ord", "i")
+
+
+def quotas(sources: DataFrame, shards: int) -> DataFrame:
+    """sources (ord, instances) to ord, shard, quota: how many block instances of each source every shard gets, where any."""
+    balls = sources.select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "ord", F.explode(F.expr("sequence(1L, instances)")).alias("i"))
+    for _ in range(math.ceil(math.log2(max(1, shards)))):
+        balls = _split(balls)
+    return balls.groupBy("ord", F.col("lo").alias("shard")).agg(F.count("*").alias("quota"))
+
+
+def places(sources: DataFrame, quota: DataFrame) -> DataFrame:
+    """sources (ord, blocks, instances) and quotas() to ord, block, at: an array of (pass, shard, quota) of the block's instances."""
+    upto = F.sum("quota").over(Window.partitionBy("ord").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    slots = quota.withColumn("upto", upto).select("ord", "shard", "quota", F.explode(F.expr("sequence(upto - quota + 1, upto)")).alias("rank"))
+    every = sources.select("ord", "blocks", F.explode(F.expr("sequence(0L, instances - 1)")).alias("instance"))
+    rank = F.row_number().over(Window.partitionBy("ord").orderBy(_keyed(F.lit("order"), F.col("ord"), F.col("instance")), "instance")).cast("long")
+    filled = every.withColumn("rank", rank).join(slots, ["ord", "rank"])
+    at = F.struct(F.expr("instance div blocks").alias("pass"), "shard", "quota")
+    return filled.groupBy("ord", F.expr("instance % blocks").alias("block")).agg(F.array_sort(F.collect_list(at)).alias("at"))
+
+
+def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """sized: stored rows (doc_id, source, size). Returns, stored, one row per source, the places of each block, what boundary documents give, and the number of shards.
 
     Columns of a source: ord, source, source_size, target, passes, blocks, cut_block (blocks before it join the partial
-    pass whole), need (words from cut_block), instances, bounds (for each shard, where its quota of instances ends).
+    pass whole), need (words from cut_block), instances.
     """
+    shards = shards or shards_for(sized.agg(F.sum("size")).first()[0] or 0)
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     src = targets(sizes, weights, cap)
     quota = F.round("target").cast("long")
     src = src.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(quota / F.greatest("source_size", F.lit(1)))).otherwise(0).cast("long"))
     src = src.withColumn("rest", quota - F.col("passes") * F.col("source_size"))
     power = F.ceil(F.log2(F.greatest(F.col("n_docs") / DOCS_PER_BLOCK, F.lit(1.0))))
-    src = src.withColumn("blocks", F.least(F.pow(F.lit(2.0), power), F.lit(float(MAX_BLOCKS))).cast("long"))
+    src = src.withColumn("blocks", F.pow(F.lit(2.0), power).cast("long"))
     src = tables.stored(src.drop("weight", "n_docs"), "mix-sources")
     near = tables.small(src, SMALL_SOURCES)
     dealt = sized.join(near.select(F.col("source").alias("its"), "ord", "blocks", "rest"), sized["source"].eqNullSafe(F.col("its"))).withColumn("h", _hash(F.col("doc_id"))).withColumn("block", F.pmod("h", "blocks"))
@@ -113,13 +132,9 @@ def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int = SHAR
     src = src.join(cut, "ord", "left").withColumns({"cut_block": F.coalesce("cut_block", F.lit(0)), "need": F.coalesce("need", F.lit(0))})
     src = src.withColumn("instances", F.col("passes") * F.col("blocks") + F.when(F.col("rest") > 0, F.col("cut_block") + 1).otherwise(0))
 
-    nodes = src.agg(F.array_sort(F.collect_list(F.struct("ord", F.col("instances").alias("q")))).alias("quota")).select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "quota")
-    for _ in range(math.ceil(math.log2(max(1, shards)))):
-        nodes = _split(nodes)
-    filled = nodes.select("lo", F.explode("quota").alias("s")).select("lo", "s.ord", "s.q")
-    bounds = filled.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("lo", "q"))).alias("by_shard"))
-    running = F.expr("transform(by_shard, (x, i) -> aggregate(slice(by_shard, 1, i + 1), 0L, (a, y) -> a + y.q))")
-    src = tables.stored(src.join(bounds, "ord").withColumn("bounds", running).drop("by_shard", "rest"), "mix-plan")
+    src = tables.stored(src.drop("rest"), "mix-plan")
+    given = src.where("instances > 0")
+    placed = tables.stored(places(given, tables.stored(quotas(given, shards), "mix-quotas")), "mix-places")
 
     ends = tables.small(src.select("ord", "cut_block", "need").where("need > 0"), SMALL_SOURCES)
     edge = dealt.select("doc_id", "size", "h", "ord", "block").join(ends, "ord").where(F.col("block") == F.col("cut_block"))
@@ -127,47 +142,45 @@ def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int = SHAR
     room = F.col("need") - F.coalesce(F.sum("size").over(before), F.lit(0))
     edge = edge.withColumn("part", F.greatest(F.lit(0), F.least("size", room)))
     edge = edge.groupBy("ord", "doc_id").agg(F.floor(F.sum("part") / F.count("*")).cast("long").alias("part"))
-    return src, tables.stored(edge.where("part > 0"), "mix-edges")
+    return src, placed, tables.stored(edge.where("part > 0"), "mix-edges"), shards
 
 
-def draws(docs: DataFrame, sources: DataFrame, edges: DataFrame, size: str = "size", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """Adds source_size, target and draws: an array of (pass, words, shard, place), one for each time a document is drawn."""
+def draws(docs: DataFrame, sources: DataFrame, placed: DataFrame, edges: DataFrame, size: str = "size", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+    """Adds source_size, target and draws: an array of (pass, words, shard, place, quota), one for each time a document is drawn; quota: blocks of its source in the shard."""
     near = tables.small(sources, SMALL_SOURCES).select([F.col(c).alias(f"_{c}") for c in sources.columns])
-    most = SMALL_SOURCES * DOCS_PER_BLOCK // 8
-    edge = tables.small(edges, most).select(F.col("ord").alias("_e_ord"), F.col("doc_id").alias("_e_doc"), F.col("part").alias("_part"))
+    block = tables.small(placed, SMALL_BLOCKS).select(F.col("ord").alias("_p_ord"), F.col("block").alias("_p_block"), F.col("at").alias("_at"))
+    edge = tables.small(edges, SMALL_BLOCKS).select(F.col("ord").alias("_e_ord"), F.col("doc_id").alias("_e_doc"), F.col("part").alias("_part"))
     df = docs.join(near, docs[source].eqNullSafe(F.col("_source")))
     df = df.withColumn("_block", F.pmod(_hash(F.col(doc_id)), "_blocks"))
+    df = df.join(block, (F.col("_ord") == F.col("_p_ord")) & (F.col("_block") == F.col("_p_block")), "left")
     df = df.join(edge, (F.col("_ord") == F.col("_e_ord")) & F.col(doc_id).eqNullSafe(F.col("_e_doc")), "left")
-    partial = f"CASE WHEN _block < _cut_block THEN `{size}` WHEN _block = _cut_block THEN coalesce(_part, 0L) ELSE 0L END"
-    shift = f"pmod(xxhash64({SEED}, _ord), greatest(_instances, 1L))"
-    rank = f"pmod((e * _blocks + _block) * {_PRIME}L + {shift}, greatest(_instances, 1L))"
-    drawn = F.expr(f"""filter(transform(sequence(0L, _passes), e -> named_struct(
-        'pass', e, 'words', if(e < _passes, `{size}`, {partial}),
-        'shard', size(filter(_bounds, b -> b <= {rank})),
-        'place', xxhash64({SEED}, `{doc_id}`, e))), d -> d.words > 0)""")
+    whole = (F.col("_block") < F.col("_cut_block")).alias("_whole")
+    words = lambda d: F.when((d["pass"] < F.col("_passes")) | whole, F.col(size)).when(F.col("_block") == F.col("_cut_block"), F.coalesce("_part", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    one = lambda d: F.struct(d["pass"].alias("pass"), words(d).alias("words"), d["shard"].alias("shard"), _keyed(F.lit("place"), F.col(doc_id), d["pass"]).alias("place"), d["quota"].alias("quota"))
+    none = F.array().cast("array<struct<pass: bigint, words: bigint, shard: int, place: bigint, quota: bigint>>")
+    drawn = F.coalesce(F.filter(F.transform("_at", one), lambda d: d["words"] > 0), none)
     return df.withColumns({"source_size": F.col("_source_size"), "target": F.col("_target"), "draws": drawn}).drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """docs (doc_id, text, source) to one row per document: doc_id, size, source_size, target, draws (see draws())."""
     sized = tables.stored(docs.select("doc_id", "source", words_of(F.col("text")).alias("size")), "mix-sizes")
-    sources, edges = plan(sized, weights, cap, shards)
-    return draws(sized, sources, edges).drop("source")
+    return draws(sized, *plan(sized, weights, cap, shards)[:3]).drop("source")
 
 
-def mixed_documents(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
+def mixed_documents(docs: DataFrame, shards: int | None = None, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """The mix itself: rows of docs, as often as drawn, shard by shard and shuffled within each.
 
     A document drawn in part is cut: it keeps its first words, and the white space before them as it is.
     """
     kept = docs.columns
     sized = tables.stored(docs.select("doc_id", "source", words_of(F.col("text")).alias("size")), "mix-sizes")
-    sources, edges = plan(sized, weights, cap, shards)
+    *planned, shards = plan(sized, weights, cap, shards)
     df = docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"), words_of(F.col("text")).alias("words"))
-    df = draws(df, sources, edges, "words", "from", "id").select("row", "words", F.explode("draws").alias("d"))
+    df = draws(df, *planned, "words", "from", "id").select("row", "words", F.explode("draws").alias("d"))
     text = F.when(F.col("d.words") < F.col("words"), F.expr(rf"array_join(slice(regexp_extract_all(row.text, '{tables.SPACE}{tables.WORD}', 0), 1, int(d.words)), '')".replace("\\", "\\\\"))).otherwise(F.col("row.text"))
     df = df.withColumn("row", F.col("row").withField("text", text))
     if "n_chars" in kept:
         df = df.withColumn("row", F.when(F.col("d.words") < F.col("words"), F.col("row").withField("n_chars", F.length("row.text").cast(docs.schema["n_chars"].dataType))).otherwise(F.col("row")))
-    df = df.repartition(shards, "d.shard").sortWithinPartitions("d.shard", "d.place", "d.pass")
+    df = df.repartitionById(shards, F.col("d.shard")).sortWithinPartitions("d.place", "d.pass")  # a task for each shard
     return df.select("row.*")

@@ -168,19 +168,40 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.leas
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT node, min(other) AS least FROM reach GROUP BY node) m ON m.node = d.doc_id
 """
 
-# --- mixing: resharing the excess, found as one level; full passes; and the blocks of the partial pass
+# --- mixing: resharing the excess, found as one level; full passes and the blocks of the partial pass; the tree's urns, ball
+# by ball; and each source's permuted blocks, dealt out to the shards' quotas
+
+
+def _key(*parts: str) -> str:
+    text = " || ':' || ".join(["'" + str(mixing.SEED) + "'", *parts])
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
 
 _WEIGHTS = f"[{', '.join(str(float(w)) for w in mixing.WEIGHTS)}][(ord - 1) % {len(mixing.WEIGHTS)} + 1]"
 MIXING = rf"""
-WITH d AS (SELECT doc_id, source, coalesce(len({_WORDS}), 0) AS size, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len({_WORDS}), 0) AS size, {_key("coalesce(doc_id::VARCHAR, 'null')")} AS h FROM documents),
 o AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs, row_number() OVER (ORDER BY source NULLS LAST) AS ord FROM d GROUP BY source),
 w AS (SELECT *, {_WEIGHTS} AS weight, {mixing.CAP} * source_size AS most FROM o),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY most / weight, ord ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 v AS (SELECT level AS filled FROM l WHERE level <= most / weight ORDER BY most / weight, ord LIMIT 1),
-t AS (SELECT ord, source, source_size, least(most, filled * weight)::DOUBLE AS target, least(pow(2, ceil(log2(greatest(docs / {mixing.DOCS_PER_BLOCK}, 1)))), {mixing.MAX_BLOCKS})::BIGINT AS blocks FROM l, v),
+t AS (SELECT ord, source, source_size, least(most, filled * weight)::DOUBLE AS target, pow(2, ceil(log2(greatest(docs / {mixing.DOCS_PER_BLOCK}, 1))))::BIGINT AS blocks FROM l, v),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS passes, round(target)::BIGINT - CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END * source_size AS rest FROM t),
 x AS (SELECT d.doc_id, d.size, d.h, d.h % p.blocks AS block, p.* EXCLUDE (source) FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 r AS (SELECT *, sum(size) OVER (PARTITION BY ord ORDER BY block, h, doc_id, size ROWS UNBOUNDED PRECEDING) AS until FROM x),
-k AS (SELECT *, greatest(0, least(size, rest - (until - size))) AS part FROM r)
-SELECT doc_id, size, source_size, target, CAST(passes * size + part AS BIGINT) AS taken, CAST(CASE WHEN size > 0 THEN passes ELSE 0 END + (part > 0)::INT AS INT) AS n_draws FROM k
+k AS (SELECT *, greatest(0, least(size, rest - (until - size))) AS part FROM r),
+m AS (SELECT ord, blocks, passes * blocks + CASE WHEN rest > 0 THEN coalesce(arg_min(block, until) FILTER (WHERE size > 0 AND until > rest), 0) + 1 ELSE 0 END AS instances FROM k GROUP BY ord, blocks, passes, rest),
+shards AS (SELECT greatest({mixing.LEAST_SHARDS}, pow(2, ceil(log2(greatest(ceil(sum(size) / {mixing.WORDS_PER_SHARD}), 1)))))::INT AS n FROM d),
+urn(lo, hi, ord, i) AS (
+  SELECT 0, n, ord, unnest(range(1, instances + 1)) FROM m, shards
+  UNION ALL
+  SELECT CASE WHEN drawn <= share THEN lo ELSE mid END, CASE WHEN drawn <= share THEN mid ELSE hi END, ord, i FROM
+    (SELECT *, row_number() OVER (PARTITION BY lo, hi ORDER BY key, ord, i) AS drawn, (2 * balls * (mid - lo) + (hi - lo)) // (2 * (hi - lo)) AS share FROM
+      (SELECT *, (lo + hi) // 2 AS mid, count(*) OVER (PARTITION BY lo, hi) AS balls, {_key("'urn'", "lo::VARCHAR", "hi::VARCHAR", "ord::VARCHAR", "i::VARCHAR")} AS key FROM urn WHERE hi - lo > 1))),
+quota AS (SELECT ord, lo AS shard, count(*) AS quota FROM urn WHERE hi - lo = 1 GROUP BY ALL),
+slot AS (SELECT ord, shard, quota, row_number() OVER (PARTITION BY ord ORDER BY shard) AS rank FROM (SELECT ord, shard, quota, unnest(range(quota)) FROM quota)),
+dealt AS (SELECT ord, blocks, i AS instance, row_number() OVER (PARTITION BY ord ORDER BY {_key("'order'", "ord::VARCHAR", "i::VARCHAR")}, i) AS rank FROM (SELECT ord, blocks, unnest(range(instances)) AS i FROM m)),
+place AS (SELECT ord, instance % blocks AS block, instance // blocks AS pass, shard, quota FROM dealt JOIN slot USING (ord, rank)),
+drawn AS (SELECT k.*, pass, shard, quota, CASE WHEN pass < passes THEN size ELSE part END AS words, {_key("'place'", "coalesce(doc_id::VARCHAR, 'null')", "pass::VARCHAR")} AS spot FROM k JOIN place USING (ord, block))
+SELECT doc_id, size, source_size, target, CAST(coalesce(sum(words), 0) AS BIGINT) AS taken, CAST(count(words) AS INT) AS n_draws, coalesce(string_agg(CASE WHEN words > 0 THEN concat_ws(':', pass, words, shard, quota, spot) END, ';' ORDER BY pass), '') AS draws
+FROM (SELECT doc_id, size, source_size, target, words, pass, shard, quota, spot FROM drawn WHERE words > 0 UNION ALL SELECT doc_id, size, source_size, target, NULL, NULL, NULL, NULL, NULL FROM k) GROUP BY doc_id, size, source_size, target
 """

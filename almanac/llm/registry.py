@@ -69,7 +69,8 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.size("draws").alias("n_draws"))
+    each = F.transform("draws", lambda d: F.concat_ws(":", *[d[c].cast("string") for c in ("pass", "words", "shard", "quota", "place")]))
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.size("draws").alias("n_draws"), F.array_join(each, ";").alias("draws"))
 
 
 @_query

@@ -581,15 +581,51 @@ def test_mixing_cuts_texts_between_words_only(spark):
 
 def test_urn_draws_every_ball(spark):
     quota = [(i, q) for i, q in enumerate((0, 1, 17, 400, 3))]
-    nodes = spark.createDataFrame([(0, 6, quota)], "lo int, hi int, quota array<struct<ord:int,q:bigint>>")
+    nodes = spark.createDataFrame([(0, 6, i, k + 1) for i, q in quota for k in range(q)], "lo int, hi int, ord int, i bigint")
     for _ in range(3):
         nodes = mixing._split(nodes)
-    found = sorted((r["lo"], r["hi"], [s["q"] for s in r["quota"]]) for r in nodes.collect())
+    of = Counter((r["lo"], r["hi"], r["ord"]) for r in nodes.collect())
+    found = [(a, b, [of[a, b, k] for k in range(5)]) for a, b in sorted({x[:2] for x in of})]
     assert [(a, b) for a, b, _ in found] == [(i, i + 1) for i in range(6)]
     assert [sum(q[k] for _, _, q in found) for k in range(5)] == [0, 1, 17, 400, 3]
     assert all(min(q) >= 0 and abs(sum(q) - 421 / 6) <= 2 for _, _, q in found)
 
 
+def _drawn_urn(balls, lo, hi):
+    """A plain urn: the left half takes the balls of smallest key; for each shard its balls."""
+    if hi - lo == 1 or not balls:
+        return {lo: balls} if balls else {}
+    mid = (lo + hi) // 2
+    key = lambda b: (int(hashlib.md5(f"{mixing.SEED}:urn:{lo}:{hi}:{b[0]}:{b[1]}".encode()).hexdigest()[:15], 16), b)
+    order = sorted(balls, key=key)
+    n = (2 * len(balls) * (mid - lo) + hi - lo) // (2 * (hi - lo))
+    return _drawn_urn(order[:n], lo, mid) | _drawn_urn(order[n:], mid, hi)
+
+
+def test_quotas_and_places_by_plain_urns(spark):
+    have = {1: (4, 9), 2: (1, 3), 3: (8, 29), 4: (2, 1)}
+    sources = spark.createDataFrame([(k, b, n) for k, (b, n) in have.items()], "ord int, blocks bigint, instances bigint")
+    for shards in (1, 2, 5, 16):
+        quota = mixing.quotas(sources, shards)
+        want = Counter((o, s) for s, balls in _drawn_urn([(k, i + 1) for k, (_, n) in have.items() for i in range(n)], 0, shards).items() for o, _ in balls)
+        assert {(r["ord"], r["shard"]): r["quota"] for r in quota.collect()} == want
+        at = [(r["ord"], r["block"], x["pass"], x["shard"], x["quota"]) for r in mixing.places(sources, quota).collect() for x in r["at"]]
+        assert sorted((o, p * have[o][0] + b) for o, b, p, _, _ in at) == [(k, i) for k, (_, n) in have.items() for i in range(n)]  # each instance once
+        assert Counter((o, s) for o, _, _, s, _ in at) == want and all(q == want[o, s] for o, _, _, s, q in at)
+    # the shares of a node vary as draws without replacement do
+    firsts = [sum(1 for b in _drawn_urn([(k, i) for k in (1, 2) for i in range(20)], lo, lo + 2)[lo] if b[0] == 1) for lo in range(200)]
+    mean, var = np.mean(firsts), np.var(firsts)
+    assert abs(mean - 10) < 0.5 and abs(var - 20 * 0.25 * 20 / 39) < 0.8
+    # a permutation, not a shift: neighbours in a source do not stay neighbours
+    one = spark.createDataFrame([(1, 512, 512)], "ord int, blocks bigint, instances bigint")
+    order = [r["block"] for r in mixing.places(one, mixing.quotas(one, 64)).selectExpr("block", "at[0].shard s").orderBy("s", "block").collect()]
+    assert sum(abs(a - b) == 1 for a, b in zip(order, order[1:])) < 20
+
+
+def test_shards_follow_the_words():
+    assert [mixing.shards_for(n) for n in (0, 1, mixing.WORDS_PER_SHARD * 64, mixing.WORDS_PER_SHARD * 64 + 1, mixing.WORDS_PER_SHARD * 1000)] == [64, 64, 64, 128, 1024]
+
+
 def test_warc(spark):
     rng = random.Random(4)
     body = [_prose(rng, 400) for _ in range(6)]
