@@ -56,11 +56,13 @@ def _bin_start(b: str) -> str:
 
 def _limits() -> str:
     out = []
-    for r, (_, _, spread, below, above) in quality.RATES.items():
-        width = f"greatest(high - low, {spread})"
+    for r, (_, size, event, below, above) in quality.RATES.items():
+        one = f"(1000 * {event}) // greatest(max(CASE WHEN rate = '{size}' THEN middle END), 1)"
+        low, middle, high = (f"max(CASE WHEN rate = '{r}' THEN {c} END)" for c in ("low", "middle", "high"))
+        low_bin, high_bin = (f"max(CASE WHEN rate = '{r}' THEN {c} END)" for c in ("low_bin", "high_bin"))
         if below is not None:
-            out.append(f"min(CASE WHEN rate = '{r}' THEN low - {below} * {width} END) AS {r}_least")
-        out.append(f"max(CASE WHEN rate = '{r}' THEN high + {above} * {width} END) AS {r}_most")
+            out.append(f"{low} - {below} * greatest({middle} - {low}, {low_bin}, {one}) AS {r}_least")
+        out.append(f"{high} + {above} * greatest({high} - {middle}, {high_bin}, {one}) AS {r}_most")
     return ", ".join(out)
 
 
@@ -70,15 +72,19 @@ def _within() -> str:
     return " AND ".join(tests)
 
 
-def _quartiles(keys: str) -> str:
-    by = f"{keys}, rate" if keys else "rate"
-    head = f"{keys}, " if keys else ""
-    return f"""(SELECT {head}rate, max(docs) AS docs, min(CASE WHEN 4 * until >= docs THEN bin END) AS low, min(CASE WHEN 4 * until >= 3 * docs THEN bin END) AS high FROM
-      (SELECT *, sum(n) OVER (PARTITION BY {by}) AS docs, sum(n) OVER (PARTITION BY {by} ORDER BY bin ROWS UNBOUNDED PRECEDING) AS until
-       FROM (SELECT {head}rate, bin, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL)"""
+_P = float(quality.PRIOR)
+_NAMES = [*quality.RATES, *quality.SIZES]
 
 
-_RATE_LIST = "[" + ", ".join(f"{{'rate': '{r}', 'bin': {_bin(_rate(r))}}}" for r in quality.RATES) + "]"
+def _quartile(k: int) -> str:
+    return f"min(CASE WHEN 4 * (us + {_P} * (ul + {_P} * uz / nz) / (nl + {_P})) >= {k} * (ns + {_P}) THEN bin END)"
+
+
+def _bin_width(b: str) -> str:
+    return f"{_bin_start(f'({b} + 1)')} - {_bin_start(b)}"
+
+
+_RATE_LIST = "[" + ", ".join(f"{{'rate': '{r}', 'bin': {_bin(_rate(r))}}}" for r in quality.RATES) + ", " + ", ".join(f"{{'rate': '{c}', 'bin': {_bin(c)}}}" for c in quality.SIZES) + "]"
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, lang, source, text, coalesce({_WORDS}, []) AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
 w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, CASE WHEN len(ws) >= 8 THEN ws ELSE [] END AS ws FROM d),
@@ -92,11 +98,14 @@ m AS (SELECT doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(li
       FROM d LEFT JOIN n USING (doc_id)),
 f AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM m),
 sketch AS (SELECT lang, source, u.rate AS rate, u.bin AS bin, count(*) AS n FROM (SELECT lang, source, unnest({_RATE_LIST}) AS u FROM f WHERE NOT base_failed) GROUP BY ALL),
-wanted AS (SELECT DISTINCT lang, source, rate FROM (SELECT DISTINCT lang, source FROM f), (SELECT unnest([{', '.join(repr(r) for r in quality.RATES)}]) AS rate)),
-q AS (SELECT x.lang, x.source, x.rate, CASE WHEN a.docs >= {quality.LEAST} THEN a.low WHEN b.docs >= {quality.LEAST} THEN b.low ELSE z.low END AS l, CASE WHEN a.docs >= {quality.LEAST} THEN a.high WHEN b.docs >= {quality.LEAST} THEN b.high ELSE z.high END AS h
-      FROM wanted x LEFT JOIN {_quartiles('lang, source')} a ON a.rate = x.rate AND a.lang IS NOT DISTINCT FROM x.lang AND a.source IS NOT DISTINCT FROM x.source
-      LEFT JOIN {_quartiles('lang')} b ON b.rate = x.rate AND b.lang IS NOT DISTINCT FROM x.lang LEFT JOIN {_quartiles('')} z ON z.rate = x.rate),
-s AS (SELECT lang, source, rate, {_bin_start('l')} AS low, {_bin_start('h')} AS high FROM q),
+wide AS (SELECT lang, rate, bin, sum(n) AS n FROM sketch GROUP BY ALL), every AS (SELECT rate, bin, sum(n) AS n FROM sketch GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, z.rate, z.bin, coalesce(s.n, 0) AS s, coalesce(l.n, 0) AS l, z.n AS z FROM (SELECT DISTINCT lang, source FROM f) g CROSS JOIN every z
+  LEFT JOIN sketch s ON s.rate = z.rate AND s.bin = z.bin AND s.lang IS NOT DISTINCT FROM g.lang AND s.source IS NOT DISTINCT FROM g.source
+  LEFT JOIN wide l ON l.rate = z.rate AND l.bin = z.bin AND l.lang IS NOT DISTINCT FROM g.lang),
+sums AS (SELECT *, (sum(s) OVER upto)::DOUBLE AS us, (sum(l) OVER upto)::DOUBLE AS ul, (sum(z) OVER upto)::DOUBLE AS uz, (sum(s) OVER every_bin)::DOUBLE AS ns, (sum(l) OVER every_bin)::DOUBLE AS nl, (sum(z) OVER every_bin)::DOUBLE AS nz FROM cells
+  WINDOW upto AS (PARTITION BY lang, source, rate ORDER BY bin ROWS UNBOUNDED PRECEDING), every_bin AS (PARTITION BY lang, source, rate)),
+q AS (SELECT lang, source, rate, {_quartile(1)} AS l, {_quartile(2)} AS m, {_quartile(3)} AS h FROM sums GROUP BY lang, source, rate),
+s AS (SELECT lang, source, rate, {_bin_start('l')} AS low, {_bin_start('m')} AS middle, {_bin_start('h')} AS high, {_bin_width('l')} AS low_bin, {_bin_width('h')} AS high_bin FROM q),
 t AS (SELECT lang, source, {_limits()} FROM s GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_within()} AS kept
 FROM f LEFT JOIN t ON f.lang IS NOT DISTINCT FROM t.lang AND f.source IS NOT DISTINCT FROM t.source

@@ -33,7 +33,7 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 16
-CACHE_SLOTS = 1 << 22
+CACHE_SLOTS = 1 << 20
 TOKENIZER = "word_bpe_49k.json"
 
 _SPACE, _LETTER, _SIGN, _DIGIT, _OTHER = 0, 1, 2, 3, 4

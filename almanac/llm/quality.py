@@ -1,12 +1,17 @@
 """Quality rules with thresholds that the corpus itself sets, per language and source.
 
 One pass counts, for each whole text, words, characters, symbols, repeated lines, repeated 8-word windows and words that
-repeat the one before. Five rates
-of these (RATES, in thousandths) go into sketches: histograms whose bins are exact below 64 and then grow by a 32nd of
-their power of two, so sketches merge by adding counts and do not depend on partitions. A source's thresholds are fences
-of the quartiles of its own sketch, whatever its size, to which its language's (the sum of its sources') adds the weight
-of PRIOR documents; the sum of all adds as much to a language's. So a few odd documents move no fence, and a small source
-whose documents are alike sets its own. The thresholds, one row per language and source, are then joined to the documents.
+repeat the one before. Five rates of these (RATES, in thousandths) and two sizes go into sketches: histograms whose bins are
+exact below 64 and then grow by a 32nd of their power of two, so a quantile is at most a 32nd too low, and sketches merge by
+adding counts and do not depend on partitions.
+
+A group's fence lies beyond a quartile of its own sketch by a multiple of a spread, which is the largest of the way from
+the median to that quartile, the quartile's bin, and what one event (a symbol, a line, an 8-word window met again) adds to
+the rate of a document of the group's median size. So every part of a fence comes from the group's sketches; quartiles
+rather than outer quantiles, as up to a quarter of a source may be junk. To the sketch of a source, whatever its size, its
+language's (the sum of its sources') adds the weight of PRIOR documents, and the sum of all adds as much to a language's: a
+few odd documents move no fence, and a small source whose documents are alike sets its own. The thresholds, one row per
+language and source, are then joined to the documents.
 
 Defined cases: a null text has no words and fails the base rule; a null language or source is a group of its own; an
 empty table gives no rows; repeated rows are judged alike, and counted each. Other columns are not read.
@@ -28,19 +33,19 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 #: The weight, in documents, of the next larger sketch in each.
 PRIOR = 30
-#: Only in the query's SQL: it replaces a sketch of fewer documents by the next larger one.
-LEAST = 300
 #: Thresholds of up to so many groups are broadcast.
 SMALL_GROUPS = 100_000
-#: Rate: numerator, denominator, least spread between quartiles, fence in spreads below (None: no lower fence) and above.
-#: Spreads are in thousandths. The least spread keeps a group whose documents are all alike from rejecting its neighbours.
+#: Rate: numerator, denominator, what one event adds to the numerator (none for word length), and the fences in spreads below
+#: the lower (None: no such fence) and above the upper quartile.
 RATES = {
-    "word_length": ("word_chars", "n_words", 500, 4.0, 8.0),
-    "symbol_rate": ("n_symbols", "n_words", 50, None, 4.0),
-    "dup_line_rate": ("n_dup_lines", "n_lines", 100, None, 4.0),
-    "repeat_rate": ("n_repeat_words", "n_words", 75, None, 4.0),
-    "echo_rate": ("n_echoes", "n_words", 50, None, 4.0),
+    "word_length": ("word_chars", "n_words", 0, 6, 8),
+    "symbol_rate": ("n_symbols", "n_words", 1, None, 8),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1, None, 3),
+    "repeat_rate": ("n_repeat_words", "n_words", 2 * WINDOW, None, 4),
+    "echo_rate": ("n_echoes", "n_words", 1, None, 10),
 }
+#: Counts whose medians are wanted.
+SIZES = ("n_words", "n_lines")
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
@@ -128,52 +133,54 @@ def bin_start(b: Column) -> Column:
 
 
 def sketches(counted: DataFrame) -> DataFrame:
-    """lang, source, rate, bin, n: the mergeable sketches of documents that pass the base rule."""
-    rates = F.array(*[F.struct(F.lit(r).alias("rate"), bin_of(rate(r)).alias("bin")) for r in RATES])
+    """lang, source, rate, bin, n: the mergeable sketches of documents that pass the base rule; rates and sizes."""
+    values = {r: rate(r) for r in RATES} | {c: F.col(c) for c in SIZES}
+    rates = F.array(*[F.struct(F.lit(r).alias("rate"), bin_of(v).alias("bin")) for r, v in values.items()])
     sound = counted.where(~base_failed()).select("lang", "source", F.explode(rates).alias("r"))
     return sound.groupBy("lang", "source", "r.rate", "r.bin").agg(F.count("*").alias("n"))
 
 
-def _listed(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Documents and bins of each sketch; a sketch has a bounded number of bins."""
-    bins = F.collect_list(F.struct("bin", F.col("n").cast("double").alias("w")))
-    return merged.groupBy(*keys, "rate").agg(F.sum("n").cast("double").alias("docs"), bins.alias("bins"))
+def _listed(merged: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Documents of each sketch, and its bins with their counts at this level (0: source, 1: language, 2: all); a sketch has a bounded number of bins."""
+    counts = [F.when(F.lit(i == level), F.col("n")).otherwise(F.lit(0).cast("long")).alias(c) for i, c in enumerate("slz")]
+    return merged.groupBy(*keys, "rate").agg(F.sum("n").alias("docs"), F.collect_list(F.struct("bin", *counts)).alias("bins"))
 
 
-def _joined(sketch: str, larger: str, prior: int) -> str:
-    """The bins of a sketch (documents and bins, or null) and those of the next larger one, which weigh `prior` documents."""
-    none = "cast(array() AS array<struct<bin: bigint, w: double>>)"
-    return f"concat(coalesce({sketch}.bins, {none}), coalesce(transform({larger}.bins, b -> named_struct('bin', b.bin, 'w', b.w * {prior} / {larger}.docs)), {none}))"
-
-
-def _quartile(bins: str, docs: str, k: int) -> Column:
-    """The least bin until which there are k quarters of the weight; bins are in order."""
-    start = "named_struct('until', 0.0D, 'bin', cast(null AS bigint))"
-    step = f"if(a.bin IS NULL AND 4 * (a.until + b.w) >= {k} * {docs}, b.bin, a.bin)"
-    return F.expr(f"aggregate({bins}, {start}, (a, b) -> named_struct('until', a.until + b.w, 'bin', {step}), a -> a.bin)")
+def _quartile(k: int, prior: int) -> Column:
+    """The least bin until which there are k quarters of a group's documents, with those that larger sketches add; `bins` are in order."""
+    start = "named_struct('s', 0L, 'l', 0L, 'z', 0L, 'bin', cast(null AS bigint))"
+    weight = "double(a.s + b.s) + {p}D * (double(a.l + b.l) + {p}D * double(a.z + b.z) / z_docs) / (l_docs + {p}D)".format(p=prior)
+    step = f"if(a.bin IS NULL AND 4D * ({weight}) >= {k}D * (s_docs + {prior}D), b.bin, a.bin)"
+    return F.expr(f"aggregate(bins, {start}, (a, b) -> named_struct('s', a.s + b.s, 'l', a.l + b.l, 'z', a.z + b.z, 'bin', {step}), a -> a.bin)")
 
 
 def thresholds(parts: DataFrame, groups: DataFrame, prior: int = PRIOR) -> DataFrame:
     """parts: sketches(), stored. groups: all (lang, source). One row per group, with <rate>_least and <rate>_most."""
     merged = {k: parts.groupBy(*k, "rate", "bin").agg(F.sum("n").alias("n")) for k in (("lang",), ())}
     levels = [(("lang", "source"), parts), *merged.items()]
-    wanted = groups.select("lang", "source", F.explode(F.array(*[F.lit(r) for r in RATES])).alias("rate"))
+    wanted = groups.select("lang", "source", F.explode(F.array(*[F.lit(r) for r in (*RATES, *SIZES)])).alias("rate"))
     for i, (keys, sketch) in enumerate(levels):
-        q = _listed(sketch, list(keys)).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("rate").alias("_rate"), F.struct("docs", "bins").alias(f"q{i}"))
+        q = _listed(sketch, list(keys), i).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("rate").alias("_rate"), F.col("docs").alias(f"docs{i}"), F.col("bins").alias(f"bins{i}"))
         on = F.col("rate") == F.col("_rate")
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
         wanted = wanted.join(q, on, "left").drop("_rate", *[f"_{k}" for k in keys])
-    wanted = wanted.withColumn("q1", F.expr(f"named_struct('docs', coalesce(q1.docs, 0.0D) + {prior}, 'bins', {_joined('q1', 'q2', prior)})"))
-    wanted = wanted.select("lang", "source", "rate", F.expr(f"coalesce(q0.docs, 0.0D) + {prior}").alias("docs"), F.array_sort(F.expr(_joined("q0", "q1", prior))).alias("bins"))
-    wanted = wanted.withColumns({"low": bin_start(_quartile("bins", "docs", 1)), "high": bin_start(_quartile("bins", "docs", 3))})
-    out = []
-    for r, (_, _, spread, below, above) in RATES.items():
-        width = F.greatest(F.col("high") - F.col("low"), F.lit(spread))
+    docs = [F.coalesce(F.col(f"docs{i}").cast("double"), F.lit(0.0)) for i in range(3)]
+    none = "cast(array() AS array<struct<bin: bigint, s: bigint, l: bigint, z: bigint>>)"
+    bins = F.array_sort(F.concat(*[F.expr(f"coalesce(bins{i}, {none})") for i in range(3)]))
+    wanted = wanted.select("lang", "source", "rate", docs[0].alias("s_docs"), docs[1].alias("l_docs"), docs[2].alias("z_docs"), bins.alias("bins"))
+    wanted = wanted.select("lang", "source", "rate", *[_quartile(k, prior).alias(c) for k, c in ((1, "low"), (2, "middle"), (3, "high"))])
+    at = lambda r, c: F.max(F.when(F.col("rate") == r, c))
+    out = [at(r, bin_start(F.col(c))).alias(f"{r}_{c}") for r in (*RATES, *SIZES) for c in ("low", "middle", "high")]
+    out += [at(r, bin_start(F.col(c) + 1) - bin_start(F.col(c))).alias(f"{r}_{c}_bin") for r in RATES for c in ("low", "high")]
+    df = wanted.groupBy("lang", "source").agg(*out)
+    fences = []
+    for r, (_, size, event, below, above) in RATES.items():
+        one = F.expr(f"1000 * {event} div greatest({size}_middle, 1)")
         if below is not None:
-            out.append(F.min(F.when(F.col("rate") == r, F.col("low") - below * width)).alias(f"{r}_least"))
-        out.append(F.max(F.when(F.col("rate") == r, F.col("high") + above * width)).alias(f"{r}_most"))
-    return wanted.groupBy("lang", "source").agg(*out)
+            fences.append((F.col(f"{r}_low") - below * F.greatest(F.col(f"{r}_middle") - F.col(f"{r}_low"), F.col(f"{r}_low_bin"), one)).alias(f"{r}_least"))
+        fences.append((F.col(f"{r}_high") + above * F.greatest(F.col(f"{r}_high") - F.col(f"{r}_middle"), F.col(f"{r}_high_bin"), one)).alias(f"{r}_most"))
+    return df.select("lang", "source", *fences)
 
 
 def within() -> Column:

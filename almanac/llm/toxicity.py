@@ -21,7 +21,10 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import dataclasses
+import gc
 import io
 import json
 from collections.abc import Iterator
@@ -305,7 +308,18 @@ def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if len(set(y.tolist())) > 1:
         sample = Sample.of(pa.chunked_array(texts))
         del texts
-        yield pa.RecordBatch.from_arrays([pa.array([fitted(y, lang, sample).to_bytes()], pa.binary())], ["model"])
+        model = fitted(y, lang, sample).to_bytes()
+        del sample
+        _give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+
+
+def _give_back() -> None:
+    """Returns what training has freed to the system; the worker goes on to other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only in the GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:

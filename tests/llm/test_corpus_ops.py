@@ -436,6 +436,44 @@ def test_quality_of_small_sources(spark):
     assert kept == {"plain": 1200, "tables": 250, "code": 40, "few": 11}
 
 
+def test_quality_thresholds_by_a_plain_recount(spark):
+    """Sources of 30 documents with unlike rates get unlike thresholds, and all thresholds are those of the weighted quartiles."""
+    rng = random.Random(31)
+    rows = []
+    for k, (lang, source, n, marks) in enumerate([("en", "forum", 30, 2), ("en", "notes", 30, 20), ("en", None, 300, 0), ("de", "forum", 5, 0)]):
+        for _ in range(n):
+            ws = _prose(rng, rng.randrange(25, 400)).split()
+            text = " ".join(w + ("#" if rng.randrange(100) < marks else "") for w in ws)
+            rows.append((len(rows), text + "\nsame line of words\n" * rng.randrange(3), lang, source, 0))
+    counted = quality.counts(spark.createDataFrame(rows, DOCS), ["doc_id", "lang", "source"]).collect()
+    found = {(r["lang"], r["source"]): r for r in quality.learned(tables.stored(quality.counts(spark.createDataFrame(rows, DOCS), ["lang", "source"]), "t")).collect()}
+
+    def start(v):  # of the value's bin
+        step = 1 if v < 64 else 1 << (v.bit_length() - 6)
+        return v // step * step, step
+
+    sound = [r for r in counted if r["n_words"] >= 20 and 100 * r["n_repeat_words"] <= 30 * r["n_words"]]
+    names = {r: (lambda x, a=a, b=b: 1000 * x[a] // max(1, x[b])) for r, (a, b, *_) in quality.RATES.items()} | {c: (lambda x, c=c: x[c]) for c in quality.SIZES}
+    for (lang, source), got in found.items():
+        own = [r for r in sound if (r["lang"], r["source"]) == (lang, source)]
+        wide = [r for r in sound if r["lang"] == lang]
+        weights = [(own, 1.0), (wide, 30 / (len(wide) + 30)), (sound, 30 * 30 / (len(wide) + 30) / len(sound))]
+        q = {}
+        for name, value in names.items():
+            mass = sorted((start(value(r))[0], w) for part, w in weights for r in part)
+            upto = np.cumsum([w for _, w in mass])
+            q[name] = [mass[int(np.searchsorted(upto, k / 4 * (len(own) + 30) - 1e-9))][0] for k in (1, 2, 3)]
+        for name, (_, size, event, below, above) in quality.RATES.items():
+            low, middle, high = q[name]
+            one = 1000 * event // max(1, q[size][1])
+            assert got[f"{name}_most"] == high + above * max(high - middle, start(high)[1], one)
+            if below:
+                assert got[f"{name}_least"] == low - below * max(middle - low, start(low)[1], one)
+    assert len({r["symbol_rate_most"] for r in found.values()}) >= 3
+    assert found["en", "notes"]["symbol_rate_most"] > 2 * found["en", "forum"]["symbol_rate_most"]
+    assert 0 < min(r["repeat_rate_most"] for r in found.values()) < 300
+
+
 def test_quality_bins(spark):
     values = [*range(0, 5000), 10**6, 10**9, 2**40 + 12345]
     df = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.bin_of(F.col("v")).alias("b")).select("v", "b", quality.bin_start(F.col("b")).alias("s"), quality.bin_start(F.col("b") + 1).alias("e"))
