@@ -770,6 +770,45 @@ def test_rest_blocks_find_what_hubs_miss(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in _near(texts, 2, 80).items()}
 
 
+def test_near_duplicates_with_several_texts_of_one_document(spark):
+    rng = random.Random(17)
+    make = lambda n=60: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c, d = make(), make(), make(), make()
+    near = lambda ws: " ".join(ws[:-1] + ["other"])
+    rows = [(11, " ".join(a)), (11, " ".join(b)), (12, near(a)), (13, near(b)), (24, " ".join(c)), (25, " ".join(d)), (25, " ".join(c)), (25, ""), (33, near(d)), (40, " ".join(make())), (50, " ".join(make(3))), (51, None)]
+    want = {11: 11, 12: 11, 13: 11, 24: 24, 25: 24, 33: 24, 40: 40, 50: 50, 51: 51}
+    for k in (1, 3):
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(k), 2).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r["component_id"] == (25 if r["doc_id"] == 25 and not r["n_shingles"] else want[r["doc_id"]]), r
+    kept = near_dup.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+    assert {r["doc_id"] for r in kept.collect()} == {11, 24, 40, 50, 51}
+
+
+def test_bands_keep_what_can_be_linked(spark):
+    for percent in (50, 80, 100):
+        found = {r["n"]: r["b"] for r in spark.range(1, 3000).select(F.col("id").alias("n"), near_dup._band(F.col("id"), percent).alias("b")).collect()}
+        assert all(abs(found[n] - found[m]) <= 1 for n in found for m in range(-(-n * percent // 100), n + 1) if m)
+
+
+def test_tables_pair_by_similarity():
+    """Of pairs at 0.8 none is missed, and few at 0.3 are candidates."""
+    rng = np.random.default_rng(6)
+    meet = {}
+    for name, common in (("near", 400), ("half", 300), ("far", 207)):  # of 450 each: 0.8, 0.5, 0.3
+        n, met = 300, 0
+        for _ in range(n):
+            both = rng.integers(0, 1 << 56, common, dtype=np.uint64)
+            own = [rng.integers(0, 1 << 56, 450 - common, dtype=np.uint64) for _ in range(2)]
+            v = np.concatenate([both, own[0], both, own[1]])
+            one, two = near_dup.half_keys(v, np.array([0, 450, 900]))
+            same = one == two
+            met += same[: near_dup.SIDE].any() and same[near_dup.SIDE :].any()
+        meet[name] = met / n
+    assert meet["near"] == 1 and meet["half"] < 0.6 and meet["far"] < 0.05
+
+
 def test_components(spark):
     rng = random.Random(14)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200 + i) for i in range(50)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)]
