@@ -1,15 +1,23 @@
 """Exact top-k by integer inner product over vector-approximation files.
 
-The index holds, for each vector, its integers and its cells: every component without its lowest bits, in one byte. For a
-query the inner product with the cells bounds the score from both sides, and the distance of the bounds depends on the query
-alone. A scan of the cells gives the k-th largest lower bound; only vectors whose upper bound reaches it are read, in the
-order of their bounds, until the k-th score found is above the next bound. Queries are taken in blocks of at most
-QUERY_BLOCK, each block shared with all tasks, which scan their part of the index once and give k rows for each query.
+Two stored tables make the index: the exact vectors (integers, by a row number), and the approximation file, whose rows are
+blocks of up to BLOCK vectors: every component without its lowest bits, in one byte. For a query the inner product with the
+cells bounds a score from both sides, and the distance of the bounds depends on the query alone.
+
+Queries are a table too, dealt by a hash into blocks of about QUERY_BLOCK, of which one at a time is broadcast. First a scan
+of the cells alone gives, for each query, the vectors whose upper bound reaches its k-th lower bound so far; the k-th largest
+lower bound over all tasks then leaves the survivors. Their exact vectors are read by row number in the order of their upper
+bounds: FIRST * k of each query, then those whose bound is not below the k-th score found, so that this is certain. Pairs of
+query and survivor move, nothing is gathered on the driver.
+
+Of equal vectors only the k + 1 of smallest vec_id can be among the k best (a query may be one of them), so others are left
+out of a block, and of a query's survivors: a large group of copies costs no more than a small one.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without vec_id, take no part; missing
 components of a shorter vector count as 0; rows with the query's own vec_id are not its candidates; repeated queries
-are answered once (of several vectors of one vec_id, the smallest asks), repeated candidates count each; an
-empty table gives no rows. Integers are 64-bit: components beyond that are clamped. Other columns are not read.
+are answered once (of several vectors of one vec_id, the smallest asks), repeated candidates count each; an empty table
+gives no rows. Integers are 64-bit: components beyond that are clamped to its ends, and so are scores, which are worked out
+without wrapping, and rank as clamped. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,14 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.llm import tables
+from almanac.llm import tables, words
 
 TOP = 5
 EVERY = 50
 SCALE = 256
-QUERY_BLOCK = 32_768
+#: Queries of one broadcast, vectors of one row of the approximation file, and exact vectors of a query read first (times k).
+QUERY_BLOCK = 16_384
+BLOCK = 8_192
+FIRST = 2
+SMALL = 2_000_000
 _ROWS = 128  # queries that are multiplied at once
-_EXACT = 1 << 40
+_MOST = (1 << 63) - 1
 
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -38,11 +50,10 @@ def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     return vectors.where(sound).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
-def matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
+def matrix(column: pa.Array) -> np.ndarray:
     """Rows of a list column, filled up with zeros."""
     size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    width = int(size.max(initial=0)) if width is None else width
-    out = np.zeros((len(size), max(width, int(size.max(initial=0)))), np.int64)
+    out = np.zeros((len(size), int(size.max(initial=0))), np.int64)
     out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
@@ -53,100 +64,151 @@ def shift_of(v: np.ndarray) -> int:
     return max(0, most.bit_length() - 7)
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        v = matrix(batch.column(1))
-        s = shift_of(v)
-        cells = (v >> s).astype(np.int8)
-        offsets = (np.arange(len(v) + 1) * v.shape[1]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.Array.from_buffers(pa.binary(), len(v), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(cells))]), pa.array(np.full(len(v), s, np.int32))], ["vec_id", "v", "cells", "shift"])
-
-
-def index(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """The stored approximation file: vec_id, v, cells, shift."""
-    return tables.stored(integers(vectors, scale).mapInArrow(_index, "vec_id long, v array<long>, cells binary, shift int"), "vector-cells")
-
-
-def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, v: np.ndarray, cells: np.ndarray, shift: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: its row, and ids and scores of its k best among v whose score reaches floor (both may be fewer).
-
-    v, cells and shift are ordered by id, so of equal scores the first is the one to keep.
-    """
-    width = max(queries.shape[1], v.shape[1])
-    q, v = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (queries, v))
-    cells = np.pad(cells, ((0, 0), (0, width - cells.shape[1])))
-    unit = (1 << shift.astype(np.int64)).astype(np.float64)
-    out = []
-    bounded = max(np.abs(q).max(initial=0), np.abs(v).max(initial=0)) < _EXACT
-    c = cells.astype(np.float64).T
-    for a in range(0, len(q), _ROWS):
-        part = q[a : a + _ROWS]
-        inner = (part.astype(np.float64) @ c) * unit if bounded else None
-        up, down = np.maximum(part, 0).sum(1), np.minimum(part, 0).sum(1)
-        for i in range(len(part)):
-            own = query_ids[a + i]
-            allowed = ids != own
-            if not bounded:  # beyond the exact range of doubles: every vector is read
-                read = np.flatnonzero(allowed)
-                score = v[read] @ part[i]
-            else:
-                low, high = inner[i] + (unit - 1) * down[i], inner[i] + (unit - 1) * up[i]
-                low = np.where(allowed, low, -np.inf)
-                n = int(allowed.sum())
-                reach = max(np.partition(low, len(low) - k)[len(low) - k] if n >= k else -np.inf, floor[a + i])
-                near = np.flatnonzero(allowed & (high >= reach))
-                near = near[np.argsort(-high[near], kind="stable")]
-                read, score = near[: 4 * k], v[near[: 4 * k]] @ part[i]
-                if len(near) > len(read):  # those whose bound is not below the k-th score so far
-                    certain = np.sort(score)[-k]
-                    more = near[4 * k :][high[near[4 * k :]] >= certain]
-                    read, score = np.concatenate([read, more]), np.concatenate([score, v[more] @ part[i]])
-            first = np.lexsort((read, -score))[:k]
-            out.append((a + i, ids[read[first]], score[first]))
-    return out
+def first_copies(ids: np.ndarray, v: np.ndarray, most: int) -> np.ndarray:
+    """Rows to keep: of equal vectors, the `most` of smallest id (then row)."""
+    group = np.unique(v, axis=0, return_inverse=True)[1].ravel() if v.shape[1] else np.zeros(len(v), np.int64)
+    order = np.lexsort((ids, group))
+    begin = np.flatnonzero(np.diff(group[order], prepend=-1))
+    rank = np.arange(len(order)) - np.repeat(begin, np.diff(begin, append=len(order)))
+    return np.sort(order[rank < most])
+
+
+def signature(v: np.ndarray) -> np.ndarray:
+    """A hash of each vector that filling up with zeros does not change."""
+    place = np.arange(1, v.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return np.where(v == 0, np.uint64(0), words.mix(words.mix(v.view(np.uint64)) + place)).sum(1, dtype=np.uint64).view(np.int64)
+
+
+def _blocks(k: int):
+    """For mapInArrow over (row, vec_id, v): rows of the approximation file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(a, BLOCK)
+                rows, ids = (part.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+                v = matrix(part.column(2))
+                keep = first_copies(ids, v, k + 1)
+                v, s = np.ascontiguousarray(v[keep]), shift_of(v[keep])
+                raw = [x.tobytes() for x in (rows[keep], ids[keep], signature(v), (v >> s).astype(np.int8))]
+                yield pa.RecordBatch.from_arrays([*[pa.array([x], pa.binary()) for x in raw], pa.array([s], pa.int32()), pa.array([len(keep)], pa.int32())], ["rows", "ids", "signs", "cells", "shift", "n"])
+
+    return run
 
 
-def _scan(query_ids: np.ndarray, queries: np.ndarray, k: int):
+def index(vectors: DataFrame, k: int = TOP, scale: int = SCALE) -> tuple[DataFrame, DataFrame]:
+    """The exact vectors (row, vec_id, v) and the approximation file (rows, ids, signs, cells, shift, n), stored."""
+    exact = tables.stored(integers(vectors, scale).select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"), "vector-exact")
+    return exact, tables.stored(exact.mapInArrow(_blocks(k), "rows binary, ids binary, signs binary, cells binary, shift int, n int"), "vector-cells")
+
+
+def bounds(q: np.ndarray, cells: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the scores of queries (rows of q) with vectors of which cells and shift are known."""
+    width = max(q.shape[1], cells.shape[1])
+    q, cells = (np.pad(x.astype(np.float64), ((0, 0), (0, width - x.shape[1]))) for x in (q, cells))
+    unit = float(1 << shift)
+    inner = (q @ cells.T) * unit
+    # what doubles may round off
+    slack = np.abs(q).sum(1) * 128 * unit * (width + 8) * 2.0**-52
+    up, down = np.maximum(q, 0).sum(1) * (unit - 1) + slack, np.minimum(q, 0).sum(1) * (unit - 1) - slack
+    return inner + down[:, None], inner + up[:, None]
+
+
+def scan_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, cells: np.ndarray, shift: int, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs whose upper bound reaches the query's k-th lower bound so far: query, vector, bounds. best: the k largest lower bounds of each query, updated."""
+    low, high = bounds(q, cells, shift)
+    own = query_ids[:, None] == ids[None, :]
+    low[own], high[own] = -np.inf, -np.inf
+    k = best.shape[1]
+    best[:] = np.partition(np.concatenate([best, low], axis=1), -k, axis=1)[:, -k:]
+    query, vector = np.nonzero((high >= best.min(1)[:, None]) & ~own)
+    return query, vector, low[query, vector], high[query, vector]
+
+
+def _scan(k: int):
+    """For mapInArrow over rows of the approximation file with `asked` (id, v): candidates."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(query_ids)
-        floor = np.full(len(query_ids), -np.inf)
+        query_ids = q = best = None
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
-            v = matrix(batch.column(1))
-            cells = np.zeros(v.shape, np.int8)
-            raw = batch.column(2)
-            size = np.array([len(x) for x in raw.to_pylist()])
-            cells[np.arange(v.shape[1]) < size[:, None]] = np.frombuffer(b"".join(raw.to_pylist()), np.int8)
-            shift = batch.column(3).to_numpy(zero_copy_only=False)
-            for row, found, score in best(query_ids, queries, ids[order], v[order], cells[order], shift[order], k, floor):
-                had, had_score = top[row]
-                all_ids, all_scores = np.concatenate([had, found]), np.concatenate([had_score, score])
-                first = np.lexsort((all_ids, -all_scores))[:k]
-                top[row] = all_ids[first], all_scores[first]
-                if len(first) == k:
-                    floor[row] = all_scores[first[-1]]
-        n = [len(x[0]) for x in top]
-        if sum(n):
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, n)), pa.array(np.concatenate([x[0] for x in top])), pa.array(np.concatenate([x[1] for x in top]))], ["query_id", "vec_id", "score"])
+            if q is None:  # every row of a task has the same queries
+                asked = batch.column(6).slice(0, 1).flatten()
+                query_ids, q = asked.field(0).to_numpy(zero_copy_only=False), matrix(asked.field(1))
+                best = np.full((len(q), k), -np.inf)
+            for i in range(batch.num_rows):
+                rows, ids, signs = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in range(3))
+                cells = np.frombuffer(batch.column(3)[i].as_py(), np.int8).reshape(len(ids), -1) if len(ids) else np.zeros((0, 0), np.int8)
+                for a in range(0, len(q), _ROWS):
+                    at = slice(a, a + _ROWS)
+                    query, vector, low, high = scan_block(query_ids[at], q[at], ids, cells, batch.column(4)[i].as_py(), best[at])
+                    if len(query):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (query_ids[at][query], rows[vector], ids[vector], signs[vector], low, high)], ["query_id", "row", "vec_id", "sign", "low", "high"])
 
     return run
 
 
+def exact_scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of rows, clamped to 64 bits."""
+    width = max(q.shape[1], v.shape[1])
+    q, v = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (q, v))
+    wide = np.abs(q.astype(np.float64)).sum(1) * np.abs(v.astype(np.float64)).max(1, initial=0) >= 2.0**62
+    out = (q * np.where(wide[:, None], 0, v)).sum(1)
+    for i in np.flatnonzero(wide).tolist():
+        total = sum(a * b for a, b in zip(q[i].tolist(), v[i].tolist()))
+        out[i] = max(-_MOST - 1, min(_MOST, total))
+    return out
+
+
+def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        score = exact_scores(matrix(batch.column(3)), matrix(batch.column(4)))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(score)], ["query_id", "row", "vec_id", "score"])
+
+
+def _read(pairs: DataFrame, exact: DataFrame, asked: DataFrame) -> DataFrame:
+    """pairs (query_id, row, vec_id), stored, with their scores, stored. The pairs' rows select the exact vectors to read."""
+    wanted = tables.small(pairs.select("query_id", F.col("row").alias("_row")), SMALL)
+    joined = exact.join(wanted, F.col("row") == F.col("_row")).join(asked.select(F.col("vec_id").alias("_q"), F.col("v").alias("qv")), F.col("query_id") == F.col("_q"))
+    return tables.stored(joined.select("query_id", "row", "vec_id", "qv", "v").mapInArrow(_scores, "query_id long, row long, vec_id long, score long"), "vector-scores")
+
+
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "row"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _answer(cells: DataFrame, exact: DataFrame, asked: DataFrame, part: int, k: int) -> DataFrame:
+    """The k best of one block of queries (vec_id, v, part)."""
+    packed = asked.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("vec_id", "v"))).alias("asked"))  # QUERY_BLOCK queries or so
+    file = cells.withColumn("part", F.lit(part).cast("long")).join(F.broadcast(packed), "part").select(*cells.columns, "asked")
+    scanned = file.mapInArrow(_scan(k), "query_id long, row long, vec_id long, sign long, low double, high double")
+    found = tables.stored(scanned, "vector-candidates")
+    of = Window.partitionBy("query_id")
+    kth = F.row_number().over(of.orderBy(F.col("low").desc()))
+    floors = found.select("query_id", "low").withColumn("n", kth).where(F.col("n") <= k).groupBy(F.col("query_id").alias("_q")).agg(F.min("low").alias("floor"), F.count("*").alias("n"))
+    floors = tables.small(tables.stored(floors, "vector-floors"), SMALL)
+    near = found.join(floors, F.col("query_id") == F.col("_q")).where((F.col("n") < k) | (F.col("high") >= F.col("floor")))
+    copy = F.row_number().over(Window.partitionBy("query_id", "sign", "high").orderBy("vec_id", "row"))
+    near = near.withColumn("copy", copy).where(F.col("copy") <= k).withColumn("order", F.row_number().over(of.orderBy(F.col("high").desc(), "vec_id", "row")))
+    near = tables.stored(near.select("query_id", "row", "vec_id", "high", "order"), "vector-survivors")
+    scored = _read(near.where(F.col("order") <= FIRST * k), exact, asked)
+    certain = _best(scored, k).groupBy(F.col("query_id").alias("_q")).agg(F.min("score").alias("least"))
+    certain = tables.small(tables.stored(certain, "vector-certain"), SMALL)
+    left = near.where(F.col("order") > FIRST * k).join(certain, F.col("query_id") == F.col("_q")).where(F.col("high") >= F.col("least").cast("double"))
+    left = tables.stored(left.select("query_id", "row", "vec_id"), "vector-uncertain")
+    return tables.stored(_best(scored.union(_read(left, exact, asked)), k).select("query_id", "rank", "vec_id", "score"), "vector-best")
+
+
 def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = TOP, scale: int = SCALE) -> DataFrame:
     """vectors (vec_id, embedding) to query_id, rank, vec_id, score. queries: likewise; else the vectors with a vec_id divisible by EVERY."""
-    file = index(vectors, scale)
-    asked = file.where(F.col("vec_id") % EVERY == 0).select("vec_id", "v") if queries is None else integers(queries, scale)
-    asked = tables.stored(asked.groupBy("vec_id").agg(F.min("v").alias("v")), "vector-queries")
-    n = asked.count()
-    blocks = max(1, -(-n // (QUERY_BLOCK * 3 // 4)))
-    found = []
-    for b in range(blocks):
-        block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow().combine_chunks().sort_by("vec_id")
-        ids, q = block.column("vec_id").to_numpy(), matrix(block.column("v").combine_chunks())
-        found.append(file.mapInArrow(_scan(ids, q, k), "query_id long, vec_id long, score long"))
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.union(more)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    tables.ship(vectors.sparkSession)
+    exact, cells = index(vectors, k, scale)
+    asked = exact.where(F.col("vec_id") % EVERY == 0).select("vec_id", "v") if queries is None else integers(queries, scale)
+    asked = asked.groupBy("vec_id").agg(F.min("v").alias("v"))
+    blocks = max(1, -(-exact.where(F.col("vec_id") % EVERY == 0).count() // QUERY_BLOCK)) if queries is None else max(1, -(-queries.count() // QUERY_BLOCK))
+    asked = tables.stored(asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long")), "vector-queries")
+    answers = [_answer(cells, exact, asked.where(F.col("part") == b), b, k) for b in range(blocks)]
+    found = answers[0]
+    for more in answers[1:]:
+        found = found.union(more)
+    return found

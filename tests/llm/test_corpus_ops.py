@@ -263,17 +263,62 @@ def test_vector_search(spark):
     assert [r["vec_id"] for r in vector_search.search(big).orderBy("rank").collect()] == [1, 2]
 
 
+def test_vector_scores_beyond_64_bits(spark):
+    rows = [(0, [2e7, 2e7]), (1, [2e7, 2e7]), (2, [-2e7, -2e7]), (3, [5e6, 1.0]), (4, [1.5e7, 2e7]), (5, [3e30, 0.0]), (6, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = (1 << 63) - 1
+    ints = {i: [max(-top - 1, min(top, int(np.floor(256 * x)))) for x in v] for i, v in rows}
+    clamped = {i: max(-top - 1, min(top, sum(a * b for a, b in zip(ints[0], ints[i])))) for i in ints if i}
+    want = sorted(clamped.items(), key=lambda x: (-x[1], x[0]))[:5]
+    assert clamped[1] == top and clamped[2] == -top - 1 and clamped[3] < top
+    assert [(r["vec_id"], r["score"]) for r in vector_search.search(df).orderBy("rank").collect()] == want
+
+
+def test_vector_search_in_blocks_of_queries_with_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vector_search, "BLOCK", 64)
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.4, 8)]) for i in range(900)]
+    rows = [(i, rows[100][1] if i % 3 == 1 else v) for i, v in rows]  # a third are copies of one
+    rows += rows[40:60]  # repeated rows count each
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    vec = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    want = [(q, n + 1, i, -s) for q in range(0, 900, 50) for n, (s, i) in enumerate(sorted((-int(v @ dict(vec)[q]), i) for i, v in vec if i != q)[:5])]
+    assert sorted(map(tuple, vector_search.search(df).collect())) == want
+    asked = df.where("vec_id IN (3, 100)").dropDuplicates(["vec_id"])
+    assert sorted({r["query_id"] for r in vector_search.search(df, asked).collect()}) == [3, 100]
+
+
 def test_bounds_hold_and_prune():
     rng = np.random.default_rng(4)
     v = rng.integers(-300, 300, (3000, 24))
-    shift = np.full(3000, vector_search.shift_of(v))
-    cells = (v >> shift[0]).astype(np.int8)
-    assert ((cells.astype(np.int64) << shift[0]) <= v).all() and (v < (cells.astype(np.int64) + 1 << shift[0])).all()
-    ids = np.arange(3000)
-    for row, found, score in vector_search.best(ids[:20], v[:20], ids, v, cells, shift, 5, np.full(20, -np.inf)):
-        s = v @ v[row]
-        order = [i for i in np.lexsort((ids, -s)) if i != row][:5]
-        assert found.tolist() == order and score.tolist() == s[order].tolist()
+    shift = vector_search.shift_of(v)
+    cells = (v >> shift).astype(np.int8)
+    assert ((cells.astype(np.int64) << shift) <= v).all() and (v < (cells.astype(np.int64) + 1 << shift)).all()
+    ids, exact = np.arange(3000), v[:20] @ v.T
+    low, high = vector_search.bounds(v[:20], cells, shift)
+    assert (low <= exact).all() and (exact <= high).all()
+    best, read = np.full((20, 5), -np.inf), 0
+    for a in range(0, 3000, 1000):
+        query, vector, _, _ = vector_search.scan_block(ids[:20], v[:20], ids[a : a + 1000], cells[a : a + 1000], shift, best)
+        near = {(q, a + i) for q, i in zip(query.tolist(), vector.tolist())}
+        read += len(near)
+        for q in range(20):
+            order = [i for i in np.lexsort((ids, -exact[q])) if i != q][:5]
+            assert {(q, i) for i in order if a <= i < a + 1000} <= near and (q, q) not in near
+    assert read < 0.1 * 20 * 3000
+    assert (np.sort(best) == np.sort(np.where(np.eye(20, 3000, dtype=bool), -np.inf, low), axis=1)[:, -5:]).all()
+    huge = rng.integers(-(1 << 62), 1 << 62, (50, 6))
+    low, high = vector_search.bounds(huge, (huge >> 55).astype(np.int8), 55)
+    exact = huge.astype(object) @ huge.astype(object).T
+    assert all(low[i, j] <= exact[i, j] <= high[i, j] for i in range(50) for j in range(50))
+
+
+def test_the_scan_reads_cells_alone(spark):
+    df = spark.createDataFrame([(i, [i / 100, 1.0]) for i in range(120)], "vec_id long, embedding array<double>")
+    exact, cells = vector_search.index(df)
+    assert "v" in exact.columns and "v" not in cells.columns
+    assert {"rows", "ids", "signs", "cells", "shift", "n"} == set(cells.columns)
 
 
 def _toxic_corpus(spark, n=500):
