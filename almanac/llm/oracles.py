@@ -18,12 +18,20 @@ def _text(x: str) -> str:
 
 _RULES = ", ".join(f"({_text(r)}, {_text(v)}, {str(own).lower()})" for rows, own in (([(r, v) for v, r in url_filter.RULES], False), ([(r, "block") for r in url_filter.LISTED], True)) for r, v in rows)
 _HOST = _LOWER.format(r"regexp_extract(url, '(?s)\A.*?://([^/?#]*)', 1)")
+_CHAR = "chr(('0x' || substr(x, 1, 2))::INT)"
+_UNESCAPED = f"""array_to_string(list_transform(string_split(path, '%'), lambda x, i: CASE WHEN i = 1 THEN x WHEN regexp_matches(x, '^[0-9A-Fa-f]{{2}}')
+  THEN CASE WHEN regexp_matches({_CHAR}, '^[A-Za-z0-9._~-]$') THEN {_CHAR} ELSE '%' || upper(substr(x, 1, 2)) END || substr(x, 3) ELSE '%' || x END), '')"""
+_RESOLVED = """list_reduce(list_prepend('', string_split(plain, '/')), lambda a, x: CASE WHEN x IN ('', '.') THEN a WHEN x = '..' THEN regexp_replace(a, '/[^/]*$', '') ELSE a || '/' || x END)
+  || CASE WHEN regexp_matches(plain, '(^|/)\\.{0,2}$') THEN '/' ELSE '' END""".replace("\\\\", "\\")
 URLS = rf"""
 WITH rules(rule, verdict, listed) AS (VALUES {_RULES}),
 parts AS (SELECT rule, verdict, listed, split_part(rule, '/', 1) AS rhost, substr(rule, strpos(rule, '/')) AS rpath FROM rules),
-urls AS (SELECT page_id, coalesce({_HOST}, '') AS host, coalesce(regexp_extract(url, '(?s)\A.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+raw AS (SELECT page_id, coalesce({_HOST}, '') AS host, coalesce(regexp_extract(url, '(?s)\A.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+opened AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '(?s)\A.*@', ''), ':[0-9]*$', ''), '\.+$', '') AS chost, {_UNESCAPED} AS plain FROM raw),
+urls AS (SELECT page_id, host, path, chost, CASE WHEN plain = '' THEN '' ELSE {_RESOLVED} END AS cpath FROM opened),
 fits AS (SELECT u.*, r.rule, r.verdict, r.listed, row_number() OVER (PARTITION BY page_id ORDER BY r.listed NULLS LAST, length(r.rule) DESC) AS n
-         FROM urls u LEFT JOIN parts r ON (u.host = r.rhost OR ends_with(u.host, '.' || r.rhost)) AND starts_with(u.path, r.rpath))
+         FROM urls u LEFT JOIN parts r ON CASE WHEN r.listed THEN (u.chost = r.rhost OR ends_with(u.chost, '.' || r.rhost)) AND starts_with(u.cpath, r.rpath)
+                                          ELSE (u.host = r.rhost OR ends_with(u.host, '.' || r.rhost)) AND starts_with(u.path, r.rpath) END)
 SELECT page_id, host, path, CASE WHEN NOT listed THEN rule END AS rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1
 """
 

@@ -227,6 +227,46 @@ def test_url_filter(spark):
         url_filter.judge(df, url_filter.rule_table(spark, [("block", "nohost")])).collect()
 
 
+CANONICAL = {
+    "http://user:pw@spam-farm.example.org:8080/x": "block", "http://spam-farm.example.org./": "block", "http://SPAM-farm.example.org:/": "block", "http://spam-farm.example.org": "allow", "http://notspam-farm.example.org/": "allow",
+    "http://blog.test/%7Euser/bad": "block", "http://blog.test/~user/./x/../bad/1": "block", "http://blog.test//~user//bad": "block", "http://blog.test/~user/good": "allow", "http://blog.test/~user/bad%2Fx": "block", "http://blog.test/%2": "allow",
+    "http://blog.test/a/../../~user/bad?x#y": "block", "http://blog.test/~user/bad/..": "allow", "http://up.test/a%2fb": "block", "http://up.test/a/b": "allow",
+}
+
+
+def test_listed_urls_are_compared_in_canonical_form(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("# a list\n\nspam-farm.example.org/\n BLOG.test:80//~user/%62ad \nup.test/a%2Fb\n")
+    listed = url_filter.listed_table(spark, f"file://{tmp_path}/list.txt")
+    df = spark.createDataFrame(list(enumerate(CANONICAL)), "id long, url string")
+    got = {r["id"]: (r["verdict"], r["rule"]) for r in url_filter.judge(df, listed).collect()}
+    assert got == {i: (v, None) for i, v in enumerate(CANONICAL.values())}
+    # the policy compares what is written
+    policy = url_filter.rule_table(spark, [("block", "blog.test/~user/bad")])
+    got = [r["id"] for r in url_filter.judge(df, policy).where("verdict = 'block'").collect()]
+    assert sorted(list(CANONICAL)[i] for i in got) == ["http://blog.test/~user/bad%2Fx", "http://blog.test/~user/bad/.."]
+
+
+def test_a_long_list(spark, monkeypatch):
+    """100,000 listed URLs with many path lengths, one host with a third of them, with and without the filter."""
+    listed = spark.range(100_000).selectExpr("concat(if(id % 3 = 0, 'big.test', concat('h', id % 5000, '.test')), '/p', repeat('x', int(id % 40)), id, '/') AS rule", "'block' AS verdict", "true AS listed")
+    urls = spark.range(0, 120_000, 7).selectExpr("id", "concat('http://www.', if(id % 3 = 0, 'big.test', concat('h', id % 5000, '.test')), '/p', repeat('x', int(id % 40)), id, '/page') AS url")
+    judged = url_filter.judge(urls, listed.union(url_filter.rule_table(spark, [("allow", "test/pxxx3/")])))
+    blocked = {r["id"] for r in judged.where("verdict = 'block'").collect()}
+    assert blocked == {i for i in range(0, 120_000, 7) if i < 100_000}
+    plan = judged._jdf.queryExecution().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
+    monkeypatch.setattr(tables, "MOST_BYTES", 1000)
+    assert {r["id"] for r in url_filter.judge(urls, listed).where("verdict = 'block'").collect()} == blocked
+
+
+def test_packed_filter_holds_every_block(spark):
+    keys = spark.range(9000).select(F.xxhash64("id").alias("_k"))
+    bits = url_filter.bloom(keys, 5000)
+    rows = {r["chunk"]: r["words"] for r in url_filter.packed(bits, 5000).collect()}
+    assert [len(rows[i]) for i in range(2)] == [4096, 904]
+    assert {r["block"]: r["bits"] for r in bits.collect()} == {c * 4096 + i: w for c, ws in rows.items() for i, w in enumerate(ws) if w}
+
+
 def test_bloom_filter_has_no_false_negatives(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("_k"))
     blocks = 5000 * url_filter.BITS_PER_KEY // 64
