@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bodies below follow the remote service's interface; those of SEARCH to GEO are golden inputs (fixed values).
 _HTML = "  <!DOCTYPE html><html><body>busy</body></html>"
 
 
@@ -81,3 +82,8 @@ GEO = [
     {"query": {"geosearch": []}},
 ]
 GEO_SQL = """SELECT * FROM (VALUES (1, 1, 'Space Needle', CAST(1 AS BIGINT), CAST(47.6205 AS DOUBLE), CAST(-122.3493 AS DOUBLE), CAST(150 AS DOUBLE)), (1, 2, 'Monorail', 2, 47.6, -122.3, 200.5)) AS t(id, rank, title, pageid, latitude, longitude, distance_meters)"""
+
+#: Bodies that no decoder can read, and errors of the service itself.
+BROKEN = ["", "busy, try again", '{"query": {"pages": {"1": {"title": "Cu', "null", "[]", '"text"', _HTML, {"error": {"code": "ratelimited", "info": "slow"}}, {"error": {"info": "no code"}}]
+BROKEN_SQL = """SELECT kind, id, CASE WHEN kind = 'summary' AND id >= 8 THEN 'not_found' ELSE 'unavailable' END AS status
+FROM (SELECT unnest(['search', 'summary', 'article', 'section', 'contents', 'languages', 'nearby']) AS kind), (SELECT CAST(unnest(range(1, 10)) AS INT) AS id)"""

@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_folders: list[tuple[SparkSession, str]] = []
 #: Bytes of rows that a Python worker is given at once, unless the session asks for fewer: long documents count by size.
 BATCH_BYTES = 16 << 20
 
@@ -35,9 +36,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or, where that is unset, one set here (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, one is made if all runs on this machine; a cluster is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="almanac-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -47,10 +50,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, which goes when the application ends."""
     path = f"{shared_dir(spark)}/almanac-{name}-{uuid.uuid4().hex[:12]}"
 
-    def drop() -> None:
-        with contextlib.suppress(Exception):  # the JVM may be gone already
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-    atexit.register(drop)
+    _folders.append((spark, path))
     return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder wherever Spark can reach it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _drop_folders() -> None:
+    for spark, path in _folders:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            delete(spark, path)

@@ -15,11 +15,12 @@ TABLES = {"articles": ARTICLES, "sections": SECTIONS, "geotags": GEOTAGS, "langl
 _PAGE = "pageid: BIGINT, title: STRING, missing: STRING, extract: STRING, langlinks: ARRAY<STRUCT<lang: STRING, title: STRING, url: STRING>>"
 _ERROR = "error STRUCT<code: STRING, info: STRING>"
 WIRE = {
-    "search": "query STRUCT<searchinfo: STRUCT<totalhits: BIGINT>, search: ARRAY<STRUCT<title: STRING, pageid: BIGINT, snippet: STRING, wordcount: BIGINT>>>",
+    "error": _ERROR,
+    "search": f"query STRUCT<searchinfo: STRUCT<totalhits: BIGINT>, search: ARRAY<STRUCT<title: STRING, pageid: BIGINT, snippet: STRING, wordcount: BIGINT>>>, {_ERROR}",
     "summary": "type STRING, title STRING, pageid BIGINT, wikibase_item STRING, description STRING, extract STRING, thumbnail STRUCT<source: STRING>",
     "pages_map": f"query STRUCT<pages: MAP<STRING, STRUCT<{_PAGE}>>>",
     "pages_list": f"query STRUCT<pages: ARRAY<STRUCT<{_PAGE}>>>",
     "wikitext": f"parse STRUCT<title: STRING, pageid: BIGINT, wikitext: STRING>, {_ERROR}",
     "sections": f"parse STRUCT<title: STRING, pageid: BIGINT, sections: ARRAY<STRUCT<level: STRING, line: STRING, number: STRING, index: STRING>>>, {_ERROR}",
-    "geosearch": "query STRUCT<geosearch: ARRAY<STRUCT<pageid: BIGINT, title: STRING, lat: DOUBLE, lon: DOUBLE, dist: DOUBLE>>>",
+    "geosearch": f"query STRUCT<geosearch: ARRAY<STRUCT<pageid: BIGINT, title: STRING, lat: DOUBLE, lon: DOUBLE, dist: DOUBLE>>>, {_ERROR}",
 }

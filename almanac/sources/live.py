@@ -2,6 +2,8 @@
 
     live.register(spark)
     spark.read.format("encyclopedia").option("requests", json_list).load()
+    live.fetch(requests)  # a table of requests, of any length
+    with live.cancellable(spark, "lookups"): ...  # live.cancel(spark, "lookups") ends what runs inside
 
 Requests are dealt over partitions; each row is id, url, status, body. Bodies go to almanac.sources.wire.
 """
@@ -9,6 +11,7 @@ Requests are dealt over partitions; each row is id, url, status, body. Bodies go
 from __future__ import annotations
 
 import json
+import os
 import random
 import re
 import time
@@ -16,8 +19,12 @@ import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from decimal import Decimal
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from almanac import params
@@ -27,6 +34,8 @@ from almanac.runtime import ship
 #: Limits of one request (fixed values).
 TIMEOUT_S, RETRIES, BASE_S, MOST_S, JITTER = 15, 3, 1.0, 30.0, 0.25
 USER_AGENT = "almanac/0.1"
+#: The environment variable that replaces it where no option does.
+USER_AGENT_ENV = "ALMANAC_USER_AGENT"
 _HTML = re.compile(r"\s*<(!DOCTYPE html|html)", re.I)
 
 
@@ -34,6 +43,12 @@ class Transient(Exception):
     """A failure that may pass."""
 
 
+def decimal(x: float) -> str:
+    """A number as it was given, in full and without an exponent."""
+    out = format(Decimal(repr(float(x))), "f")
+    return out.removesuffix(".0")
+
+
 def base_url(language: str) -> str:
     return f"https://{params.language(language)}.{HOST}"
 
@@ -53,7 +68,7 @@ QUERIES: dict[str, Callable[..., dict]] = {
     "section": lambda title, section_index: dict(action="parse", page=title, prop="wikitext", section=params.section_index(section_index)),
     "sections": lambda title: dict(action="parse", page=title, prop="sections"),
     "languages": lambda title: dict(action="query", prop="langlinks", titles=title, lllimit=params.MOST_LINKS, llprop="url"),
-    "nearby": lambda latitude, longitude, radius_meters=params.RADIUS, limit=params.NEARBY_LIMIT: dict(action="query", list="geosearch", gscoord="|".join(f"{x:g}" for x in params.coordinates(latitude, longitude)), gsradius=params.radius(radius_meters), gslimit=params.row_limit(limit)),
+    "nearby": lambda latitude, longitude, radius_meters=params.RADIUS, limit=params.NEARBY_LIMIT: dict(action="query", list="geosearch", gscoord="|".join(map(decimal, params.coordinates(latitude, longitude))), gsradius=params.radius(radius_meters), gslimit=params.row_limit(limit)),
 }
 
 
@@ -94,6 +109,65 @@ def with_retry(f: Callable[[], tuple[int, str]], retries: int = RETRIES, base: f
     raise AssertionError
 
 
+def user_agent(option: str | None = None) -> str:
+    return option or os.environ.get(USER_AGENT_ENV) or USER_AGENT
+
+
+def answer(operator: str, language: str, parameters: dict, base: str | None, agent: str, retries: int, pause: float) -> tuple[str | None, int, str]:
+    """URL, status and body of one request. What cannot be asked has status 400, what stays transient 503; neither ends the others."""
+    try:
+        url = url_of(operator, language, base, **parameters)
+    except (params.ValidationError, KeyError, TypeError) as e:
+        return None, 400, str(e)
+    try:
+        return url, *with_retry(lambda: get(url, agent), retries, pause)
+    except Transient as e:
+        return url, 503, str(e)
+
+
+#: How the parameters of a request table's map are read; others stay text.
+_TYPES = {"limit": int, "section_index": int, "radius_meters": int, "latitude": float, "longitude": float}
+
+
+def fetch(requests: DataFrame, agent: str | None = None, base: str | None = None, retries: int = RETRIES, pause: float = BASE_S) -> DataFrame:
+    """requests (id, operator, language, parameters: map of texts) to id, url, status, body. The table's partitions are asked side by side."""
+    ship(requests.sparkSession)
+    agent = user_agent(agent)
+
+    def typed(name: str, value: str | None):
+        try:
+            return _TYPES.get(name, str)(value) if value is not None else None
+        except ValueError:
+            return value  # refused where it is checked
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                given = {k: typed(k, v) for k, v in (row["parameters"] or [])}
+                found = answer(row["operator"], row["language"] or "en", given, base, agent, retries, pause)
+                yield pa.RecordBatch.from_pylist([{"id": row["id"], **dict(zip(("url", "status", "body"), found))}], _ANSWERS)
+
+    return requests.select(F.col("id").cast("long").alias("id"), "operator", "language", "parameters").mapInArrow(run, "id long, url string, status int, body string")
+
+
+_ANSWERS = pa.schema([("id", pa.int64()), ("url", pa.string()), ("status", pa.int32()), ("body", pa.string())])
+
+
+@contextmanager
+def cancellable(spark: SparkSession, tag: str):
+    """Jobs started inside can be ended by cancel(); their requests end with their tasks."""
+    spark.sparkContext.addJobTag(tag)
+    spark.sparkContext.setInterruptOnCancel(True)
+    try:
+        yield
+    finally:
+        spark.sparkContext.removeJobTag(tag)
+
+
+def cancel(spark: SparkSession, tag: str) -> None:
+    spark.sparkContext.cancelJobsWithTag(tag)
+
+
 class _Part(InputPartition):
     def __init__(self, requests: list):
         self.requests = requests
@@ -103,7 +177,7 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.requests = json.loads(options.get("requests", "[]"))
         self.parts = int(options.get("partitions", "8"))
-        self.agent, self.base = options.get("useragent", USER_AGENT), options.get("baseurl")
+        self.agent, self.base = user_agent(options.get("useragent")), options.get("baseurl")
         self.retries, self.pause = int(options.get("retries", RETRIES)), float(options.get("pause", BASE_S))
 
     def partitions(self) -> list[InputPartition]:
@@ -114,12 +188,7 @@ class _Reader(DataSourceReader):
         for r in partition.requests:
             r = dict(r)
             number, operator, language = r.pop("id"), r.pop("operator"), r.pop("language", "en")
-            url = url_of(operator, language, self.base, **r)
-            try:
-                status, body = with_retry(lambda: get(url, self.agent), self.retries, self.pause)
-            except Transient as e:
-                status, body = 503, str(e)
-            yield number, url, status, body
+            yield number, *answer(operator, language, r, self.base, self.agent, self.retries, self.pause)
 
 
 class RemoteSource(DataSource):
