@@ -39,16 +39,33 @@ def capped(df: DataFrame, most: int = MOST_ROWS) -> tuple[DataFrame, bool]:
 
 
 def latest(changes: DataFrame, key: list[str], order: str) -> DataFrame:
-    """The last change of each key."""
-    last = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(order).desc()))
+    """The last change of each key; of several of equal order, the one whose row is greatest by hash, so that reruns agree."""
+    last = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(order).desc_nulls_last(), F.xxhash64(*changes.columns)))
     return changes.withColumn("_n", last).where("_n = 1").drop("_n")
 
 
+def merged(current: DataFrame, changes: DataFrame, key: list[str], order: str, deleted: str = "deleted") -> DataFrame:
+    """current with the last change of each key, where it is not older than the row it meets; deleted rows stay, marked, so that a late change does not revive them.
+
+    current has the columns of the result, `order` and `deleted` among them. One shuffle by key.
+    """
+    rows = latest(changes, key, order).withColumn(deleted, F.coalesce(F.col(deleted), F.lit(False))).select(current.columns)
+    # of rows that are equally old the change counts: it came later
+    both = current.withColumn("_late", F.lit(0)).unionByName(rows.withColumn("_late", F.lit(1)))
+    last = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(order).desc_nulls_last(), F.col("_late").desc()))
+    return both.withColumn("_n", last).where("_n = 1").drop("_n", "_late")
+
+
 def upsert(current: DataFrame, changes: DataFrame, key: list[str], order: str, deleted: str = "deleted") -> DataFrame:
-    """current with the last change of each key applied; a change marked deleted removes its row."""
-    new = latest(changes, key, order)
-    kept = current.join(new.select(*key), key, "left_anti")
-    return kept.unionByName(new.where(~F.coalesce(F.col(deleted), F.lit(False))).select(current.columns))
+    """current with the last change of each key applied; a change marked deleted removes its row.
+
+    If current has the order column, an older change leaves a newer row as it is. Rows removed are forgotten: a table that late
+    changes may reach keeps them (see merged).
+    """
+    marked = current.withColumn("_gone", F.lit(False))
+    timed = marked if order in current.columns else marked.withColumn(order, F.lit(None).cast(changes.schema[order].dataType))
+    new = changes.withColumn("_gone", F.coalesce(F.col(deleted), F.lit(False)))
+    return merged(timed, new.select(timed.columns), key, order, "_gone").where(~F.col("_gone")).select(current.columns)
 
 
 class Workspace:
