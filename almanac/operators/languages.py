@@ -31,6 +31,8 @@ def languages(articles: DataFrame, links: DataFrame, title: str, language: str =
 
 def languages_batch(articles: DataFrame, links: DataFrame, requests: DataFrame) -> DataFrame:
     """requests (request_id, title, language) to request_id, title, total_languages, editions (array by code), status."""
+    wanted = params.with_edition(requests).where("known").select(F.lower("language").alias("_wl"), F.col("title").alias("_wt")).distinct()
+    links = links.join(wanted, (F.col("source_lang") == F.col("_wl")) & (F.col("source_title") == F.col("_wt")), "left_semi")
     rows = link_rows(links).groupBy(F.col("source_lang").alias("_sl"), F.col("source_title").alias("_st")).agg(F.array_sort(F.collect_list(F.struct("language_code", "title", "url"))).alias("editions"))
     asked = params.with_edition(requests).select("request_id", F.col("title").alias("asked"), "known", F.lower("language").alias("_lang"))
     pages = articles.select("lang", F.col("title").alias("_at"))

@@ -39,7 +39,10 @@ def table_of_contents(articles: DataFrame, sections: DataFrame, title: str, lang
 def toc_batch(articles: DataFrame, sections: DataFrame, requests: DataFrame) -> DataFrame:
     """requests (request_id, title, language) to request_id, title, pageid, entries, total_sections, status."""
     asked = params.with_edition(requests).select("request_id", F.col("title").alias("asked"), "known", F.lower("language").alias("_lang"))
-    df = asked.join(contents(articles, sections), (F.col("_lang") == F.col("lang")) & (F.col("asked") == F.col("title")) & F.col("known"), "left")
+    wanted = asked.where("known").select(F.col("_lang").alias("_wl"), F.col("asked").alias("_wt")).distinct()
+    # what nobody asks for goes before sections are gathered and headings looked for
+    own = [t.join(wanted, (F.col("lang") == F.col("_wl")) & (F.col("title") == F.col("_wt")), "left_semi") for t in (articles, sections)]
+    df = asked.join(contents(*own), (F.col("_lang") == F.col("lang")) & (F.col("asked") == F.col("title")) & F.col("known"), "left")
     status = F.when(~F.col("known"), "invalid_language").when(F.col("lang").isNull(), "not_found").when(F.col("total_sections") == 0, "no_sections").otherwise("ok")
     return df.select("request_id", F.col("asked").alias("title"), "pageid", "entries", F.coalesce("total_sections", F.lit(0)).alias("total_sections"), status.alias("status"))
 
@@ -66,7 +69,9 @@ def section_batch(articles: DataFrame, sections: DataFrame, requests: DataFrame)
     asked = params.with_edition(requests).select("request_id", F.col("title").alias("asked"), F.col("section_index").alias("wanted"), "known", F.lower("language").alias("_lang"))
     pages = articles.select(F.col("lang").alias("_al"), F.col("title").alias("_at"))
     df = asked.join(pages, (F.col("_lang") == F.col("_al")) & (F.col("asked") == F.col("_at")) & F.col("known"), "left")
-    own = section_rows(sections)
+    wanted = asked.where("known").select(F.col("_lang").alias("_wl"), F.col("asked").alias("_wt"), F.col("wanted").alias("_wi")).distinct()
+    # markup is stripped of the sections asked for only
+    own = section_rows(sections.join(wanted, (F.col("lang") == F.col("_wl")) & (F.col("title") == F.col("_wt")) & (F.col("index") == F.col("_wi")), "left_semi"))
     df = df.join(own, (F.col("_al") == F.col("lang")) & (F.col("_at") == F.col("title")) & (F.col("wanted") == F.col("section_index")), "left")
     status = F.when(~F.col("known"), "invalid_language").when(F.col("wanted") < 1, "invalid_section").when(F.col("_at").isNull(), "not_found").when(F.col("section_index").isNull(), "invalid_section").otherwise("ok")
     return df.select("request_id", F.col("asked").alias("title"), F.col("wanted").alias("section_index"), "section_title", "content", status.alias("status"))

@@ -24,12 +24,17 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A section per line that is not blank, with a heading of the line's first characters. Documents of odd number have none stored."""
-    rows = _numbered_lines(spark, sf_dir).where("doc_id % 2 = 0")
+    """A section per line that is not blank, with a heading of the line's first characters."""
+    rows = _numbered_lines(spark, sf_dir)
     wikitext = F.concat("mark", F.lit(" "), "head", F.lit(" "), "mark", F.lit("\nText: "), "line")
     return rows.select("lang", F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"), F.col("doc_id").alias("pageid"), (F.col("i") + 1).alias("index"), F.concat(F.lit("S"), (F.col("i") + 1).cast("string")).alias("number"), F.col("head").alias("section_title"), F.length("mark").alias("level"), wikitext.alias("wikitext"))
 
 
+def stored_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sections() of a corpus in which articles of odd number have none stored, so that theirs come from headings."""
+    return sections(spark, sf_dir).where("pageid % 2 = 0")
+
+
 def headed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """articles() whose text has each line under its heading."""
     lines = F.filter(F.split("full_text", "\n"), lambda x: F.trim(x) != "")
@@ -62,8 +67,8 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def langlinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages whose numbers leave the same rest by 50 are one article in several editions; of every third link the address is not known."""
-    p = page_titles(spark, sf_dir).withColumn("concept", F.col("page_id") % 50)
+    """Fifty pages of neighbouring numbers are one article in several editions; of every third link the address is not known."""
+    p = page_titles(spark, sf_dir).withColumn("concept", F.expr("page_id div 50"))
     a = p.select("concept", F.col("lang").alias("source_lang"), F.concat(F.lit("Page "), F.col("page_id").cast("string")).alias("source_title"))
     b = p.select("concept", F.col("lang").alias("language_code"), F.concat(F.col("title"), F.lit(" "), F.col("page_id").cast("string")).alias("title"), F.when(F.col("page_id") % 3 != 0, F.col("url")).alias("url"))
     return a.join(b, "concept").where("source_lang != language_code").drop("concept")

@@ -64,7 +64,7 @@ _LINKS = f"""
 p AS (SELECT page_id, regexp_extract(url, '://[^/]*/([a-z]+)/', 1) AS lang, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, url FROM pages),
 links AS (SELECT a.lang AS source_lang, 'Page ' || a.page_id AS source_title, b.lang AS language_code, b.title || ' ' || b.page_id AS title,
                  CASE WHEN b.page_id % 3 <> 0 THEN b.url ELSE 'https://' || b.lang || '.{text.HOST}{text.ARTICLE_PATH}' || {_encode("b.title || ' ' || b.page_id")} END AS url
-          FROM p a JOIN p b ON a.page_id % 50 = b.page_id % 50 AND a.lang <> b.lang),
+          FROM p a JOIN p b ON a.page_id // 50 = b.page_id // 50 AND a.lang <> b.lang),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY source_lang, source_title ORDER BY language_code, title) AS n FROM links)"""
 
 # --- full-text search
@@ -72,7 +72,8 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY source_lang, source_title
 _SEARCH = f"""a AS (SELECT doc_id, text, {_TOKENS} AS tk, len(regexp_extract_all(text, '\\S+')) AS wc FROM documents WHERE lang = 'en'),
 s AS (SELECT *, len(list_filter(tk, lambda x: x = 'the')) AS t1, len(list_filter(tk, lambda x: x = 'of')) AS t2 FROM a),
 hits AS (SELECT * FROM s WHERE t1 > 0 AND t2 > 0)"""
-_SNIPPET = _clean("regexp_replace(substr(text, greatest(1, strpos(lower(text), 'the') - 60), 160), '(?i)(the|of)', '<span class=\"searchmatch\">\\1</span>', 'g')")
+_EXCERPT = "substr(text, greatest(1, strpos(lower(text), 'the') - 60), 160)"
+_SNIPPET = f"regexp_replace({_EXCERPT}, '^[\\s\\p{{Z}}\\x{{FEFF}}]+|[\\s\\p{{Z}}\\x{{FEFF}}]+$', '', 'g')"
 
 
 @query(f"""WITH {_SEARCH} SELECT 'Doc ' || doc_id AS title, doc_id AS pageid, {_SNIPPET} AS snippet, wc AS wordcount, t1 + t2 AS score, 'en' AS language
@@ -86,6 +87,12 @@ def search_total(spark, sf_dir):
     return search.search_meta(derive.articles(spark, sf_dir), "the of")
 
 
+@query(f"""WITH {_SEARCH} SELECT 'Doc ' || doc_id AS title, doc_id AS pageid, {_SNIPPET} AS snippet, wc AS wordcount, t1 + t2 AS score, 'en' AS language,
+CASE WHEN text IS NOT NULL THEN string_split(text, chr(10))[1] END AS extract, text AS content FROM hits ORDER BY score DESC, pageid LIMIT 50""")
+def search_articles(spark, sf_dir):
+    return search.search_articles(derive.articles(spark, sf_dir), "the of", limit=50)
+
+
 @query("""SELECT 'xylophone quagmire' AS effective_query, CAST(0 AS BIGINT) AS total_count, 'Nothing found for "xylophone quagmire" in "en". Other keywords or a broader query may help.' AS notice""")
 def search_nothing(spark, sf_dir):
     return search.search_meta(derive.articles(spark, sf_dir), "xylophone quagmire")
@@ -107,7 +114,7 @@ o AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC,
 SELECT request_id, CAST(rank AS INT) AS rank, doc_id AS pageid, CAST(score AS BIGINT) AS score, total_count FROM o WHERE rank <= most""")
 def search_batch(spark, sf_dir):
     asked = spark.createDataFrame([(1, "the of", "en", 10), (2, "de la", "FR", 80), (3, "der", "de", 50), (4, "nowhere", "en", 10), (5, "the", "zz", 10)], "request_id int, query string, language string, limit int")
-    return search.search_batch(search.postings(derive.articles(spark, sf_dir)), asked)
+    return search.search_batch(search.postings(derive.articles(spark, sf_dir), asked), asked)
 
 
 # --- text
@@ -177,14 +184,13 @@ def missing_titles(spark, sf_dir):
 @query(f"""WITH {_SECTIONS} SELECT lang, 'Doc ' || doc_id AS article, doc_id AS pageid, CAST(i AS INT) AS "index", CASE WHEN doc_id % 2 = 0 THEN 'S' ELSE '' END || i AS number,
 head AS title, CAST(level AS INT) AS level, doc_id % 2 <> 0 AS derived FROM heads""")
 def toc(spark, sf_dir):
-    rows = sections.contents(derive.headed_articles(spark, sf_dir), derive.sections(spark, sf_dir), text.HEADING_LINE)
+    rows = sections.contents(derive.headed_articles(spark, sf_dir), derive.stored_sections(spark, sf_dir), text.HEADING_LINE)
     return rows.select("lang", F.col("title").alias("article"), "pageid", "derived", F.inline("entries")).select("lang", "article", "pageid", "index", "number", "title", "level", "derived")
 
 
-@query(f"""WITH {_SECTIONS} SELECT doc_id AS pageid, count(*) AS total_sections, CAST(max(level) AS INT) AS deepest FROM heads WHERE doc_id % 2 = 1 GROUP BY doc_id""")
+@query(f"""WITH {_SECTIONS} SELECT doc_id AS pageid, count(*) AS total_sections, CAST(max(level) AS INT) AS deepest FROM heads GROUP BY doc_id""")
 def toc_fallback(spark, sf_dir):
-    pages = derive.headed_articles(spark, sf_dir).where("pageid % 2 = 1")
-    rows = sections.contents(pages, derive.sections(spark, sf_dir).where("false"), text.HEADING_LINE).where("total_sections > 0")
+    rows = sections.contents(derive.headed_articles(spark, sf_dir), derive.sections(spark, sf_dir).where("false"), text.HEADING_LINE).where("total_sections > 0")
     return rows.select("pageid", "total_sections", F.array_max(F.transform("entries", lambda e: e["level"])).alias("deepest"))
 
 
@@ -192,19 +198,19 @@ def toc_fallback(spark, sf_dir):
 SELECT request_id, title, doc_id AS pageid, CASE WHEN doc_id IS NULL THEN 0 ELSE k END AS total_sections, CASE WHEN language = 'zz' THEN 'invalid_language' WHEN doc_id IS NULL THEN 'not_found' WHEN k = 0 THEN 'no_sections' ELSE 'ok' END AS status FROM s""")
 def toc_requests(spark, sf_dir):
     a = derive.headed_articles(spark, sf_dir)
-    return sections.toc_batch(a, derive.sections(spark, sf_dir), derive.requests(spark, sf_dir)).drop("entries")
+    return sections.toc_batch(a, derive.stored_sections(spark, sf_dir), derive.requests(spark, sf_dir)).drop("entries")
 
 
 _CONTENT = "repeat('=', level) || ' ' || head || ' ' || repeat('=', level) || chr(10) || chr(10) || 'Text: ' || line"
 
 
 @query(f"""WITH {_SECTIONS} SELECT lang, 'Doc ' || doc_id AS title, doc_id AS pageid, CAST(i AS INT) AS section_index, head AS section_title, trim({_CONTENT}) AS content, 'section' AS content_type
-FROM heads WHERE doc_id % 2 = 0""")
+FROM heads""")
 def section_read(spark, sf_dir):
     return sections.section_rows(derive.sections(spark, sf_dir))
 
 
-@query(f"""WITH {_REQUESTS}, {_SECTIONS}, s AS (SELECT r.*, d.doc_id, h.head, h.level, h.line {_FOUND} LEFT JOIN heads h ON h.doc_id = d.doc_id AND h.i = r.section_index AND h.doc_id % 2 = 0)
+@query(f"""WITH {_REQUESTS}, {_SECTIONS}, s AS (SELECT r.*, d.doc_id, h.head, h.level, h.line {_FOUND} LEFT JOIN heads h ON h.doc_id = d.doc_id AND h.i = r.section_index)
 SELECT request_id, title, CAST(section_index AS INT) AS section_index, head AS section_title, trim({_CONTENT}) AS content,
 CASE WHEN language = 'zz' THEN 'invalid_language' WHEN section_index < 1 THEN 'invalid_section' WHEN doc_id IS NULL THEN 'not_found' WHEN head IS NULL THEN 'invalid_section' ELSE 'ok' END AS status FROM s""")
 def section_requests(spark, sf_dir):
@@ -284,7 +290,7 @@ def render_article(spark, sf_dir):
 
 
 @query(f"""WITH {_SECTIONS} SELECT doc_id AS pageid, CAST(i AS INT) AS section_index, '# Doc ' || doc_id || chr(10) || '**Type:** section | **Language:** ' || lang || ' | **Page ID:** ' || doc_id || chr(10) || '**Section:** ' || head || chr(10) || chr(10) || trim({_CONTENT}) AS markdown
-FROM heads WHERE doc_id % 2 = 0""")
+FROM heads""")
 def render_section(spark, sf_dir):
     rows = sections.section_rows(derive.sections(spark, sf_dir)).withColumnRenamed("lang", "language")
     return rows.select("pageid", "section_index", render.articles(True).alias("markdown"))
@@ -293,7 +299,7 @@ def render_section(spark, sf_dir):
 @query(f"""WITH {_SECTIONS} SELECT doc_id AS pageid, '## Table of Contents — Doc ' || doc_id || ' (' || any_value(lang) || ')' || chr(10) || count(*) || ' sections | Page ID: ' || doc_id || chr(10) || chr(10) ||
 string_agg(repeat('  ', level - 2) || CASE WHEN doc_id % 2 = 0 THEN 'S' ELSE '' END || i || '. **' || head || '** (index: ' || i || ', level: ' || level || ')', chr(10) ORDER BY i) AS markdown FROM heads GROUP BY doc_id""")
 def render_toc(spark, sf_dir):
-    rows = sections.contents(derive.headed_articles(spark, sf_dir), derive.sections(spark, sf_dir), text.HEADING_LINE).where("total_sections > 0")
+    rows = sections.contents(derive.headed_articles(spark, sf_dir), derive.stored_sections(spark, sf_dir), text.HEADING_LINE).where("total_sections > 0")
     return rows.withColumnRenamed("lang", "language").select("pageid", render.contents().alias("markdown"))
 
 
@@ -317,7 +323,7 @@ def render_languages(spark, sf_dir):
 
 @query(samples.SEARCH_SQL)
 def wire_search(spark, sf_dir):
-    return wire.search_hits(samples.frame(spark, samples.SEARCH))
+    return wire.search_hits(samples.frame(spark, samples.SEARCH)).where("status = 'ok'").drop("status")
 
 
 @query(samples.SUMMARY_SQL)
@@ -348,7 +354,19 @@ def wire_languages(spark, sf_dir):
 
 @query(samples.GEO_SQL)
 def wire_nearby(spark, sf_dir):
-    return wire.geo_hits(samples.frame(spark, samples.GEO))
+    return wire.geo_hits(samples.frame(spark, samples.GEO)).where("status = 'ok'").drop("status")
+
+
+@query(samples.BROKEN_SQL)
+def wire_broken(spark, sf_dir):
+    """The status that each decoder gives to bodies that are no JSON objects, and to errors."""
+    bodies = samples.frame(spark, samples.BROKEN).withColumn("section_index", F.lit(1))
+    decoders = {"search": wire.search_hits, "summary": wire.summaries, "article": wire.articles, "section": wire.sections, "contents": wire.contents, "languages": wire.language_links, "nearby": wire.geo_hits}
+    rows = [f(bodies).select(F.lit(kind).alias("kind"), "id", "status") for kind, f in decoders.items()]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.union(more)
+    return out
 
 
 # --- extras: a mirror of one's own tables
@@ -368,6 +386,18 @@ def mirror_upsert(spark, sf_dir):
     return mirror.upsert(current, changes, ["user_id"], "event_id")
 
 
+@query("""WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT user_id, event_id, value FROM l WHERE event_type <> 'purchase'""")
+def mirror_out_of_order(spark, sf_dir):
+    """Changes in three batches, each with events from all of time: newer rows and deletions stand against later, older changes."""
+    columns = "user_id long, event_id long, value double"
+    m = Mirror(spark, f"{new_folder(spark, 'mirror')}/table", columns, ["user_id"], "event_id", buckets=8)
+    changes = derive.table(spark, sf_dir, "events").select("user_id", "event_id", "value", (F.col("event_type") == "purchase").alias("deleted"))
+    for batch, rest in enumerate((2, 0, 1)):
+        m.apply(changes.where(F.col("event_id") % 3 == rest), batch)
+    return m.table()
+
+
 @query("""SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'purchase'""")
 def mirror_refresh(spark, sf_dir):
     """A stream of changes, followed to its end."""

@@ -40,6 +40,34 @@ def test_search(corpus):
     assert [r["title"] for r in search.search_bm25(a, "the of").collect()] == ["Python", "Mercury"]
 
 
+def test_search_without_spaces(spark):
+    texts = {1: "昨日は東京タワーに行った。", 2: "京都の東寺", 3: "ภาษาไทยเขียนติดกัน", 4: "tower 東京 mixed東京text"}
+    a = spark.createDataFrame([("ja", f"T{i}", i, None, None, None, "", t, "", None, 1) for i, t in texts.items()], schemas.ARTICLES)
+    found = lambda q: {r["pageid"] for r in search.search(a, q, 50, "ja").collect()}
+    assert found("東京タワー") == {1} and found("東京") == {1, 4} and found("東") == {1, 2, 4} and found("京都") == {2}
+    assert found("ไทย") == {3} and found("東京 tower") == {4} and found("大阪") == set()
+    asked = spark.createDataFrame([(i, q, "ja", 50) for i, q in enumerate(["東京タワー", "東京", "東", "東京 tower", "ไทย"])], "request_id int, query string, language string, limit int")
+    got = search.search_batch(search.postings(a), asked).collect()
+    assert {(r["request_id"], r["pageid"]) for r in got} == {(0, 1), (1, 1), (1, 4), (2, 1), (2, 2), (2, 4), (3, 4), (4, 3)}
+
+
+def test_hits_with_their_articles(spark, corpus):
+    got = search.search_articles(corpus[0], "the of").collect()
+    assert [(r["title"], r["extract"], r["content"]) for r in got] == [("Python", "A language.", ARTICLES[0][7]), ("Mercury", "May refer to:", "the planet of the sun")]
+    hits = spark.createDataFrame([(1, "EN"), (99, "en"), (4, "en"), (1, "en")], "pageid long, language string")
+    assert sorted((r["pageid"], r["language"], r["content"] is not None) for r in search.read_hits(hits, corpus[0]).collect()) == [(1, "EN", True), (1, "en", True), (4, "en", False), (99, "en", False)]
+
+
+def test_batches_meet_their_requests_first(spark, corpus):
+    asked = spark.createDataFrame([(1, "the of", "en", 5)], "request_id int, query string, language string, limit int")
+    df = search.search_batch(search.postings(corpus[0], asked), asked)
+    assert rows(df) == rows(search.search_batch(search.postings(corpus[0]), asked)) and df.count() == 2
+    # other terms go before postings are counted, and tasks keep the best rows only
+    plan = search.postings(corpus[0], asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [lang") < plan.index("LeftSemi") < plan.index("Generate explode")
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_search_batch(spark, corpus):
     asked = spark.createDataFrame([(1, "the of", "EN", 1), (2, "tour", "fr", 99), (3, "the", "zz", 5)], "request_id int, query string, language string, limit int")
     assert rows(search.search_batch(search.postings(corpus[0]), asked)) == [(1, 1, 1, 5, 2), (2, 1, 4, 1, 1)]

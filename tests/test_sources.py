@@ -1,9 +1,14 @@
 import json
+import os
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+import time
+from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 
 import pytest
+from pyspark import InheritableThread
+from pyspark.sql import functions as F
 
+from almanac import runtime
 from almanac.operators import mirror
 from almanac.plans import samples
 from almanac.sources import live, wire
@@ -46,6 +51,72 @@ def test_urls():
     assert "section=3" in live.url_of("section", "en", title="x", section_index=3)
 
 
+def test_coordinates_are_sent_in_full():
+    u = live.url_of("nearby", "en", latitude=47.620512, longitude=-122.349312)
+    assert "gscoord=47.620512%7C-122.349312&" in u
+    assert [live.decimal(x) for x in (47.0, -0.00000012, 1e-9, 12.5)] == ["47", "-0.00000012", "0.000000001", "12.5"]
+
+
+def test_user_agent(monkeypatch):
+    assert live.user_agent() == live.USER_AGENT and live.user_agent("mine/1") == "mine/1"
+    monkeypatch.setenv(live.USER_AGENT_ENV, "env/2")
+    assert live.user_agent() == "env/2" and live.user_agent("mine/1") == "mine/1"
+
+
+class _Slow(BaseHTTPRequestHandler):
+    def do_GET(self):
+        if "Slow" in self.path:
+            time.sleep(30)
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(json.dumps({"path": self.path}).encode())
+
+    def log_message(self, *a):
+        pass
+
+
+@pytest.fixture
+def server():
+    s = ThreadingHTTPServer(("127.0.0.1", 0), _Slow)
+    s.daemon_threads = True
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{s.server_port}"
+    s.shutdown()
+
+
+def _asked(spark, rows):
+    return spark.createDataFrame(rows, "id long, operator string, language string, parameters map<string, string>")
+
+
+def test_fetch_a_table_of_requests(spark, server):
+    rows = [(i, "article", "en", {"title": f"T{i}"}) for i in range(20)]
+    rows += [(20, "nearby", "fr", {"latitude": "47.620512", "longitude": "-122.349312", "radius_meters": "500"}), (21, "nearby", "en", {"latitude": "north", "longitude": "1"}), (22, "section", "en", {"title": "x", "section_index": "0"}), (23, "search", None, {"query": "a b", "limit": "7"}), (24, "summary", "en", None)]
+    got = {r["id"]: r for r in live.fetch(_asked(spark, rows).repartition(3), base=server, retries=0).collect()}
+    assert len(got) == 25 and all(got[i]["status"] == 200 and f"titles=T{i}&" in got[i]["url"] for i in range(20))
+    assert "47.620512%7C-122.349312" in got[20]["url"] and "gsradius=500" in got[20]["url"]
+    assert [got[i]["status"] for i in (21, 22, 24)] == [400] * 3 and got[21]["url"] is None
+    assert "srlimit=7" in got[23]["url"] and json.loads(got[23]["body"])["path"].startswith("/w/api.php")
+
+
+def test_cancelling_requests(spark, server):
+    ended = []
+
+    def run():
+        with live.cancellable(spark, "slow-lookups"):
+            try:
+                live.fetch(_asked(spark, [(1, "article", "en", {"title": "Slow"})]), base=server, retries=0).collect()
+            except Exception as e:  # noqa: BLE001
+                ended.append(e)
+
+    thread = InheritableThread(run, session=spark) if "session" in InheritableThread.__init__.__code__.co_varnames else InheritableThread(run)
+    began = time.monotonic()
+    thread.start()
+    time.sleep(6)
+    live.cancel(spark, "slow-lookups")
+    thread.join(20)
+    assert ended and "cancel" in str(ended[0]).lower() and time.monotonic() - began < 25
+
+
 def test_live_source(spark):
     seen = []
 
@@ -108,3 +179,56 @@ def test_refresh_from_a_stream(spark, tmp_path):
     assert rows(m.table()) == [(1, "c"), (3, "d")]
     m.apply(spark.createDataFrame([(9, "again", 9, False)], changes), 0)  # a batch that has been committed
     assert rows(m.table()) == [(1, "c"), (3, "d")]
+
+
+def test_late_changes_neither_overwrite_nor_revive(spark, tmp_path):
+    changes = "k int, v string, at long, deleted boolean"
+    m = Mirror(spark, str(tmp_path / "m"), "k int, v string", ["k"], "at", buckets=4)
+    m.apply(spark.createDataFrame([(1, "new", 10, False), (2, None, 10, True), (3, "x", 1, False)], changes), 0)
+    m.apply(spark.createDataFrame([(1, "old", 5, False), (2, "old", 5, False), (3, "y", 2, False), (4, None, 3, True)], changes), 1)
+    assert rows(m.table()) == [(1, "new"), (3, "y")]
+    m.apply(spark.createDataFrame([(2, "back", 11, False), (1, "newer", 10, False)], changes), 2)
+    assert rows(m.table()) == [(1, "newer"), (2, "back"), (3, "y")]
+    m.apply(spark.createDataFrame([], changes), 3)
+    assert m.version() == 3 and m.table().count() == 3
+    # a batch rewrites the buckets it touches, and what newer versions replaced goes
+    only = spark.createDataFrame([(3, "z", 9, False)], changes)
+    for batch in (4, 5, 6):
+        m.apply(only, batch)
+    folders = {f"{v}/{b}" for v in os.listdir(tmp_path / "m") if v.startswith("v") for b in os.listdir(tmp_path / "m" / v) if b.startswith("_bucket")}
+    bucket = only.select(F.pmod(F.xxhash64("k"), F.lit(4))).first()[0]
+    assert {f for f in folders if f.startswith(("v4", "v5", "v6"))} == {f"v5/_bucket={bucket}", f"v6/_bucket={bucket}"}
+    assert rows(m.table()) == [(1, "newer"), (2, "back"), (3, "z")]
+
+
+def test_upsert_keeps_newer_rows(spark):
+    current = spark.createDataFrame([(1, "a", 10), (2, "b", 1), (3, "c", 1)], "k int, v string, at long")
+    changes = spark.createDataFrame([(1, "late", 5, False), (2, "new", 2, None), (3, None, 2, True), (4, "in", 1, False), (4, "first", 0, False), (None, "null key", 1, False)], "k int, v string, at long, deleted boolean")
+    assert rows(mirror.upsert(current, changes, ["k"], "at")) == [(None, "null key", 1), (1, "a", 10), (2, "new", 2), (4, "in", 1)]
+    assert rows(mirror.upsert(current.drop("at"), changes, ["k"], "at").where("k IS NOT NULL")) == [(1, "late"), (2, "new"), (4, "in")]
+
+
+def test_search_and_places_tell_an_outage_from_no_hits(spark):
+    bodies = samples.frame(spark, ['{"query": {"search": []}}', '{"query": {"geosearch": []}}', "<html>", '{"query": {"sea'])
+    assert [r["status"] for r in wire.search_hits(bodies).orderBy("id").collect()] == ["no_hits", "no_hits", "unavailable", "unavailable"]
+    assert [r["status"] for r in wire.geo_hits(bodies).orderBy("id").collect()] == ["no_hits", "no_hits", "unavailable", "unavailable"]
+    good, bad = wire.quarantine(bodies)
+    assert good.count() == bad.count() == 2
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(), self
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            runtime.shared_dir(Session(master))

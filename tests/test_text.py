@@ -80,3 +80,16 @@ def test_small_functions(spark):
     assert [one(spark, text.is_html, x) for x in (" \n<!doctype HTML>", "<html>", '{"a":"<html>"}', None)] == [True, True, False, False]
     assert one(spark, text.collapse_breaks, "a\n\n\n\n\nb\n\nc") == "a\n\nb\n\nc"
     assert one(spark, lambda c: text.article_url(F.lit("DE"), c), "Test (Deutsch)").endswith("/wiki/Test_(Deutsch)")
+
+
+def test_snippets_keep_what_is_no_markup(spark):
+    plain = "if a < b and c > d then stop, other things & the &lt; end"
+    assert one(spark, lambda c: text.excerpt(c, ["then"]), plain) == plain
+    marked = one(spark, lambda c: text.snippet(c, ["the", "then", "lt"]), plain)
+    assert marked == 'if a &lt; b and c &gt; d <span class="searchmatch">then</span> stop, other things &amp; <span class="searchmatch">the</span> &amp;<span class="searchmatch">lt</span>; end'
+    assert one(spark, text.clean_snippet, marked).startswith("if a < b and c > d then stop, other things & the ")
+
+
+def test_templates_nest_to_any_depth(spark):
+    deep = "".join("{{t%d|" % i for i in range(40)) + "x" + "}}" * 40
+    assert one(spark, text.strip_wikitext, f"before {deep}after {{{{open") == "before after {{open"
