@@ -207,6 +207,7 @@ def winners(found: DataFrame) -> DataFrame:
     return found.join(beaten, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("h") == F.col("_h")) & (F.col("template") == F.col("_template")) & (F.col("start") == F.col("_start")), "left_anti")
 
 
+@tables.tidy
 def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """docs (doc_id, text) to doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans (of notices found)."""
     spark = docs.sparkSession
@@ -225,7 +226,7 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
         F.array_sort(F.collect_set(F.when(base, s["label"]))).alias("own"), F.array_sort(F.collect_set(s["label"])).alias("every"),
         F.max("score").alias("score"), F.collect_list(F.when(notice, s)).alias("spans"),
     )
-    by_doc = tables.stored(by_doc, "license-documents")
+    by_doc = tables.keep(tables.stored(by_doc, "license-documents"))
     sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sizes, "doc_id long, h long, n_words long")
     df = sizes.join(tables.small(by_doc, SMALL_HITS), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
     text = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))

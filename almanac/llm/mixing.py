@@ -106,6 +106,7 @@ def places(sources: DataFrame, quota: DataFrame) -> DataFrame:
     return filled.groupBy("ord", F.expr("instance % blocks").alias("block")).agg(F.array_sort(F.collect_list(at)).alias("at"))
 
 
+@tables.tidy
 def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """sized: stored rows (doc_id, source, size). Returns, stored, one row per source, the places of each block, what boundary documents give, and the number of shards.
 
@@ -132,9 +133,9 @@ def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int | None
     src = src.join(cut, "ord", "left").withColumns({"cut_block": F.coalesce("cut_block", F.lit(0)), "need": F.coalesce("need", F.lit(0))})
     src = src.withColumn("instances", F.col("passes") * F.col("blocks") + F.when(F.col("rest") > 0, F.col("cut_block") + 1).otherwise(0))
 
-    src = tables.stored(src.drop("rest"), "mix-plan")
+    src = tables.keep(tables.stored(src.drop("rest"), "mix-plan"))
     given = src.where("instances > 0")
-    placed = tables.stored(places(given, tables.stored(quotas(given, shards), "mix-quotas")), "mix-places")
+    placed = tables.keep(tables.stored(places(given, tables.stored(quotas(given, shards), "mix-quotas")), "mix-places"))
 
     ends = tables.small(src.select("ord", "cut_block", "need").where("need > 0"), SMALL_SOURCES)
     edge = dealt.select("doc_id", "size", "h", "ord", "block").join(ends, "ord").where(F.col("block") == F.col("cut_block"))
@@ -142,7 +143,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int | None
     room = F.col("need") - F.coalesce(F.sum("size").over(before), F.lit(0))
     edge = edge.withColumn("part", F.greatest(F.lit(0), F.least("size", room)))
     edge = edge.groupBy("ord", "doc_id").agg(F.floor(F.sum("part") / F.count("*")).cast("long").alias("part"))
-    return src, placed, tables.stored(edge.where("part > 0"), "mix-edges"), shards
+    return src, placed, tables.keep(tables.stored(edge.where("part > 0"), "mix-edges")), shards
 
 
 def draws(docs: DataFrame, sources: DataFrame, placed: DataFrame, edges: DataFrame, size: str = "size", source: str = "source", doc_id: str = "doc_id") -> DataFrame:

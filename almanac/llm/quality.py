@@ -106,6 +106,7 @@ def _measured(keep: int):
 
 def counts(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns `keep` of docs (doc_id, lang, source, text, ...), and COUNTS of text."""
+    tables.ship(docs.sparkSession)
     df = docs.select(*keep, F.col("text").alias("_whole_text"))
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]], *[f"{c} long" for c in COUNTS]])
     return df.mapInArrow(_measured(len(keep)), schema)
@@ -206,10 +207,11 @@ def judged(counted: DataFrame, prior: int = PRIOR, known: DataFrame | None = Non
     return df.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & within())
 
 
+@tables.tidy
 def learned(counted: DataFrame, prior: int = PRIOR) -> DataFrame:
     """The thresholds of all groups of `counted`, stored."""
     parts = tables.stored(sketches(counted), "quality-sketches")
-    return tables.stored(thresholds(parts, counted.select("lang", "source").distinct(), prior), "quality-thresholds")
+    return tables.keep(tables.stored(thresholds(parts, counted.select("lang", "source").distinct(), prior), "quality-thresholds"))
 
 
 def rules(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
@@ -221,7 +223,9 @@ def rules(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
 def good_documents(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """The rows of docs that rules() keeps, with their columns. Counts are taken again rather than joined: texts never move."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    known = learned(tables.stored(counts(docs, ["lang", "source"]), "quality-counts"), prior)
+    counted = tables.stored(counts(docs, ["lang", "source"]), "quality-counts")
+    known = learned(counted, prior)
+    tables.drop(counted)
     renamed = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)], "lang", "source", "text")
     kept = judged(counts(renamed, [*names, "lang", "source"]), prior, known).where("kept")
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

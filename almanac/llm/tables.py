@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
-from almanac.runtime import new_folder, shared_dir, ship  # noqa: F401
+from almanac.runtime import delete, new_folder, shared_dir, ship  # noqa: F401
 
 #: Words by ASCII white space, as a Java and as a DuckDB regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,7 +28,54 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     ship(spark)
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    if _scopes:
+        _scopes[-1][path] = False
+    return out
+
+
+#: Tables stored by each tidy function that runs, and whether they outlast it.
+_scopes: list[dict[str, bool]] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Marks a stored table that the result of the tidy function around still reads."""
+    if _scopes:
+        _scopes[-1][df._stored_at] = True
+    return df
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes a stored table that nothing reads any more."""
+    for scope in _scopes:
+        scope.pop(df._stored_at, None)
+    with contextlib.suppress(Exception):  # it goes with the application at the latest
+        delete(df.sparkSession, df._stored_at)
+
+
+def tidy(f: Callable) -> Callable:
+    """When f returns, the tables that it stored go, but for those it marked with keep(); they are the next tidy function's."""
+
+    @functools.wraps(f)
+    def run(*args, **kwargs):
+        _scopes.append({})
+        try:
+            out = f(*args, **kwargs)
+        except BaseException:
+            _scopes.pop()  # left to the end of the application
+            raise
+        scope = _scopes.pop()
+        spark = SparkSession.getActiveSession()
+        for path, kept in scope.items():
+            if kept and _scopes:
+                _scopes[-1][path] = False
+            elif not kept:
+                with contextlib.suppress(Exception):
+                    delete(spark, path)
+        return out
+
+    return run
 
 
 #: A table of more bytes than this is not broadcast, however few its rows.

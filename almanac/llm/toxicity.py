@@ -322,6 +322,7 @@ def _give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@tables.tidy
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model, trained in one executor task from the bounded sample; None without rows of both kinds."""
     tables.ship(docs.sparkSession)

@@ -35,7 +35,7 @@ BITS_PER_KEY = 16
 #: Blocks of one row of the packed filter.
 CHUNK = 4096
 SMALL_RULES = 200_000
-SMALL_HITS = 500_000
+SMALL_HITS = 100_000
 _PLAIN = "^[A-Za-z0-9._~-]$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -147,6 +147,7 @@ def _tails(host: Column, labels: list[int], listed: bool) -> list[Column]:
     return [F.when(F.size(parts) >= n, F.struct(F.lit(listed).alias("listed"), F.array_join(F.slice(parts, -n, n), ".").alias("h"))) for n in labels]
 
 
+@tables.tidy
 def judge(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """urls (id, url) to id, host, path, rule (null if none of the policy fits) and verdict. rules: see rule_table() and listed_table()."""
     known = tables.stored(keyed(rules), "url-rules")
@@ -174,6 +175,6 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFram
     hits = possible.join(exact, ["listed", "h", "p"])
     # policy before list, then the longest rule; ties by labels, then by text
     best = F.min(F.struct("listed", (-F.length("rule")).alias("l"), (-F.col("labels")).alias("n"), "rule", "verdict")).alias("best")
-    verdicts = tables.stored(hits.groupBy("id", "url").agg(best).select(F.col("id").alias("_id"), F.col("url").alias("_url"), "best"), "url-hits")
+    verdicts = tables.keep(tables.stored(hits.groupBy("id", "url").agg(best).select(F.col("id").alias("_id"), F.col("url").alias("_url"), "best"), "url-hits"))
     judged = pages.join(tables.small(verdicts, SMALL_HITS), pages["id"].eqNullSafe(F.col("_id")) & pages["url"].eqNullSafe(F.col("_url")), "left")
     return judged.select("id", "host", "path", F.when(~F.col("best.listed"), F.col("best.rule")).alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

@@ -177,6 +177,7 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+@tables.tidy
 def _answer(cells: DataFrame, exact: DataFrame, asked: DataFrame, part: int, k: int) -> DataFrame:
     """The k best of one block of queries (vec_id, v, part)."""
     packed = asked.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("vec_id", "v"))).alias("asked"))  # QUERY_BLOCK queries or so
@@ -196,9 +197,10 @@ def _answer(cells: DataFrame, exact: DataFrame, asked: DataFrame, part: int, k:
     certain = tables.small(tables.stored(certain, "vector-certain"), SMALL)
     left = near.where(F.col("order") > FIRST * k).join(certain, F.col("query_id") == F.col("_q")).where(F.col("high") >= F.col("least").cast("double"))
     left = tables.stored(left.select("query_id", "row", "vec_id"), "vector-uncertain")
-    return tables.stored(_best(scored.union(_read(left, exact, asked)), k).select("query_id", "rank", "vec_id", "score"), "vector-best")
+    return tables.keep(tables.stored(_best(scored.union(_read(left, exact, asked)), k).select("query_id", "rank", "vec_id", "score"), "vector-best"))
 
 
+@tables.tidy
 def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = TOP, scale: int = SCALE) -> DataFrame:
     """vectors (vec_id, embedding) to query_id, rank, vec_id, score. queries: likewise; else the vectors with a vec_id divisible by EVERY."""
     tables.ship(vectors.sparkSession)
@@ -207,7 +209,7 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = TOP, s
     asked = asked.groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-exact.where(F.col("vec_id") % EVERY == 0).count() // QUERY_BLOCK)) if queries is None else max(1, -(-queries.count() // QUERY_BLOCK))
     asked = tables.stored(asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long")), "vector-queries")
-    answers = [_answer(cells, exact, asked.where(F.col("part") == b), b, k) for b in range(blocks)]
+    answers = [tables.keep(_answer(cells, exact, asked.where(F.col("part") == b), b, k)) for b in range(blocks)]
     found = answers[0]
     for more in answers[1:]:
         found = found.union(more)
