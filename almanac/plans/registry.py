@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from almanac.functions import text
 from almanac.operators import articles, languages, mirror, nearby, render, search, sections
 from almanac.plans import derive, samples
 from almanac.runtime import new_folder
-from almanac.sources import wire
+from almanac.sources import live, parse, wire
 from almanac.streaming.refresh import Mirror
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -268,6 +269,55 @@ def known_editions(spark, sf_dir):
     return params.with_edition(codes).select("language", "known")
 
 
+# --- parameters: what each check answers, and the requests that are sent
+
+#: Parameters and values as JSON.
+_CHECKS = [
+    ("limit", "1"), ("limit", "50"), ("limit", "51"), ("limit", "99999"), ("limit", "0"), ("limit", "-3"), ("limit", "2.5"), ("limit", "true"),
+    ("radius_meters", "1"), ("radius_meters", "10000"), ("radius_meters", "10001"), ("radius_meters", "0"),
+    ("section_index", "1"), ("section_index", "999"), ("section_index", "0"), ("section_index", "-1"), ("section_index", "1.5"),
+    ("latitude", "90"), ("latitude", "-90.0"), ("latitude", "90.01"), ("latitude", "-91"), ("longitude", "180"), ("longitude", "-180.5"), ("longitude", "181"),
+    ("language", '"EN"'), ("language", '"zh-min-nan"'), ("language", '"simple"'), ("language", '"zz"'), ("language", '"not a code"'), ("language", '""'), ("language", "null"), ("title", '"Python"'), ("title", '""'), ("title", "null"),
+]
+_RULES = {
+    "limit": params.row_limit, "radius_meters": params.radius, "section_index": params.section_index, "language": params.language, "title": lambda x: params.text("title", x),
+    "latitude": lambda x: params.coordinates(x, 0)[0], "longitude": lambda x: params.coordinates(0, x)[1],
+}
+
+
+@query(r"""SELECT *, CASE
+  WHEN name IN ('limit', 'radius_meters', 'section_index') THEN CASE WHEN regexp_full_match(given, '[1-9][0-9]*') THEN CAST(least(CAST(given AS BIGINT), CASE name WHEN 'limit' THEN 50 WHEN 'radius_meters' THEN 10000 ELSE 9999999 END) AS VARCHAR)
+    WHEN name = 'section_index' THEN 'invalid_section' ELSE 'invalid_parameter' END
+  WHEN name IN ('latitude', 'longitude') THEN CASE WHEN abs(TRY_CAST(given AS DOUBLE)) <= CASE name WHEN 'latitude' THEN 90 ELSE 180 END THEN CAST(CAST(given AS DOUBLE) AS VARCHAR) ELSE 'invalid_coordinates' END
+  WHEN name = 'language' THEN CASE given WHEN '"EN"' THEN 'en' WHEN '"zh-min-nan"' THEN 'zh-min-nan' ELSE 'invalid_language' END
+  ELSE CASE WHEN given IN ('null', '""') THEN 'invalid_parameter' ELSE trim(given, '"') END END AS answer
+FROM (VALUES """ + ", ".join(f"('{n}', '{v}')" for n, v in _CHECKS) + ") AS t(name, given)")
+def param_checks(spark, sf_dir):
+    """The value that is used, or the reason of the refusal, for each parameter and value."""
+    rows = []
+    for name, given in _CHECKS:
+        try:
+            rows.append((name, given, str(_RULES[name](json.loads(given)))))
+        except params.QueryError as e:
+            rows.append((name, given, e.reason))
+    return spark.createDataFrame(rows, "name string, given string, answer string")
+
+
+_EN = f"https://en.{text.HOST}"
+_ACTION = "&format=json&formatversion=2"
+
+
+@query(f"""SELECT * FROM (VALUES (1, '{_EN}/w/api.php?action=query&list=search&srsearch=a+b%26c&srlimit=50&srprop=snippet%7Cwordcount{_ACTION}'),
+(2, '{_EN}/api/rest_v1/page/summary/A_B%2F%C3%A9'), (3, '{_EN}/w/api.php?action=query&prop=extracts&titles=Caf%C3%A9&explaintext=true&exsectionformat=wiki{_ACTION}'),
+(4, '{_EN}/w/api.php?action=parse&page=P&prop=wikitext&section=3{_ACTION}'), (5, '{_EN}/w/api.php?action=parse&page=P&prop=sections{_ACTION}'),
+(6, '{_EN}/w/api.php?action=query&prop=langlinks&titles=P&lllimit=500&llprop=url{_ACTION}'),
+(7, '{_EN}/w/api.php?action=query&list=geosearch&gscoord=47.620512%7C-122.349312&gsradius=10000&gslimit=10{_ACTION}')) AS t(id, url)""")
+def request_urls(spark, sf_dir):
+    """The address that each operator's request goes to."""
+    asked = [("search", dict(query="a b&c", limit=999)), ("summary", dict(title="A B/é")), ("article", dict(title="Café")), ("section", dict(title="P", section_index=3)), ("sections", dict(title="P")), ("languages", dict(title="P")), ("nearby", dict(latitude=47.620512, longitude=-122.349312, radius_meters=99_999))]
+    return spark.createDataFrame([(i + 1, live.url_of(operator, "EN", **given)) for i, (operator, given) in enumerate(asked)], "id int, url string")
+
+
 # --- rendering
 
 @query(f"""WITH {_SEARCH}, o AS (SELECT *, row_number() OVER (ORDER BY t1 + t2 DESC, doc_id) AS rank FROM hits), k AS (SELECT *, {_SNIPPET} AS snippet FROM o WHERE rank <= 10)
@@ -377,6 +427,30 @@ def mirror_query(spark, sf_dir):
     return rows.select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
+@query("""SELECT 'orders' AS name, least(count(*), 10000) AS shown, count(*) > 10000 AS truncated FROM orders UNION ALL SELECT 'nation', count(*), false FROM nation""")
+def mirror_capped(spark, sf_dir):
+    """How many rows of a table are shown, and whether there are more."""
+    rows = []
+    for name in ("orders", "nation"):
+        shown, more = mirror.capped(derive.table(spark, sf_dir, name))
+        rows.append(shown.agg(F.count("*").alias("shown")).select(F.lit(name).alias("name"), "shown", F.lit(more).alias("truncated")))
+    return rows[0].union(rows[1])
+
+
+@query("""SELECT s_suppkey AS id, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS name, CASE WHEN s_suppkey % 4 <> 0 THEN s_nationkey END AS nation, CASE WHEN s_suppkey % 4 <> 0 THEN round(s_acctbal, 2) END AS balance,
+CASE WHEN s_suppkey % 4 = 0 THEN 'unreadable' ELSE 'ok' END AS status FROM supplier""")
+def parsed_texts(spark, sf_dir):
+    """Suppliers written as CSV, JSON and XML, a quarter of them broken, and read again."""
+    s = derive.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.round("s_acctbal", 2).alias("balance"))
+    row, kind = F.struct("name", "nation", "balance"), F.col("id") % 3
+    body = F.when(kind == 0, F.to_csv(row)).when(kind == 1, F.to_json(row)).otherwise(F.to_xml(row))
+    broken = F.when(kind == 0, F.concat(body, F.lit(",one,too,many"))).otherwise(F.expr("substr(body, 1, length(body) - 3)"))
+    df = s.withColumn("body", body).withColumn("body", F.when(F.col("id") % 4 == 0, broken).otherwise(F.col("body")))
+    schema = "name string, nation long, balance double"
+    df = df.withColumn("r", F.when(kind == 0, parse.csv(F.col("body"), schema)).when(kind == 1, parse.json_object(F.col("body"), schema)).otherwise(parse.xml(F.col("body"), schema)))
+    return df.select("id", "r.name", "r.nation", "r.balance", F.when(F.col("r").isNull(), "unreadable").otherwise("ok").alias("status"))
+
+
 @query("""WITH c AS (SELECT user_id, event_id, value, event_type FROM events), l AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
 cur AS (SELECT c_custkey AS user_id, CAST(-1 AS BIGINT) AS event_id, c_acctbal AS value FROM customer)
 SELECT user_id, event_id, value FROM cur WHERE user_id NOT IN (SELECT user_id FROM l) UNION ALL SELECT user_id, event_id, value FROM l WHERE event_type <> 'purchase'""")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from almanac import runtime
 from almanac.operators import mirror
 from almanac.plans import samples
-from almanac.sources import live, wire
+from almanac.sources import live, parse, wire
 from almanac.streaming.refresh import Mirror
 
 from .conftest import rows
@@ -232,3 +232,18 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             runtime.shared_dir(Session(master))
+
+
+def test_parsing_text_columns(spark):
+    one = lambda c, body: spark.createDataFrame([(body,)], "b string").select(c(F.col("b")).alias("r")).first()["r"]
+    schema = "k int, v array<struct<a: int, b: string>>, w string"
+    assert parse._fields(schema) == ["k int", "v array<struct<a: int, b: string>>", "w string"]
+    assert one(lambda c: parse.json_object(c, schema), '{"k": 1, "v": [{"a": 2, "b": "x"}], "w": null}').asDict(True) == {"k": 1, "v": [{"a": 2, "b": "x"}], "w": None}
+    assert one(lambda c: parse.csv(c, "k int, w string", ";"), '7;"a;b"').asDict() == {"k": 7, "w": "a;b"}
+    assert one(lambda c: parse.xml(c, "_id int, name string, tag array<string>"), '<p id="3"><name>N</name><tag>a</tag><tag>b</tag></p>').asDict() == {"_id": 3, "name": "N", "tag": ["a", "b"]}
+    for f, body in ((lambda c: parse.json_object(c, schema), '{"k": '), (lambda c: parse.csv(c, "k int"), "x"), (lambda c: parse.xml(c, "a int"), "<p><a>1</p>"), (lambda c: parse.csv(c, "k int"), None)):
+        assert one(f, body) is None
+    pytest.importorskip("yaml")
+    df = spark.createDataFrame([(1, "k: 5\nw: text\nv:\n - a: 1\n   b: x\n"), (2, "k: [unclosed"), (3, "- a list"), (4, None)], "id int, body string")
+    got = {r["id"]: r["r"] for r in parse.yaml(df, "body", schema, "r").collect()}
+    assert got[1].asDict(True) == {"k": 5, "v": [{"a": 1, "b": "x"}], "w": "text"} and got[2] is got[3] is got[4] is None
