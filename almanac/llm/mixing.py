@@ -9,7 +9,8 @@ keyed hash that differs at every node. So the quotas of a shard are a multivaria
 shards add up to each source's quota. Each source's instances, permuted by another keyed hash, then fill the shards'
 quotas one after another, so the draws of different shards are disjoint. Within a shard rows are ordered by a third hash.
 
-Shards follow the corpus: one for every WORDS_PER_SHARD words, as a power of two, LEAST_SHARDS at least. Balls are rows, one
+A node's draw is a ranking of its balls by key; with more than MANY_BALLS in all, in parts that tasks share, with the same
+result. Shards follow the corpus: one for every WORDS_PER_SHARD words, as a power of two, LEAST_SHARDS at least. Balls are rows, one
 for about DOCS_PER_BLOCK documents and pass; documents meet the plan by their source and block, and nothing else is
 gathered but a block's documents where a source's words end.
 
@@ -36,6 +37,8 @@ SEED = 20011
 #: Plans of up to so many sources, and of so many blocks, are broadcast.
 SMALL_SOURCES = 20_000
 SMALL_BLOCKS = 500_000
+#: More balls than this are ranked in parts, by the first PART_BITS bits of their keys, rather than a node in one task.
+MANY_BALLS, PART_BITS = 2_000_000, 12
 
 
 def words_of(text: Column) -> Column:
@@ -76,37 +79,49 @@ def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     return df.withColumn("target", F.least("most", F.col("level") * F.col("weight"))).drop("most", "ratio", "level")
 
 
-def _split(balls: DataFrame) -> DataFrame:
+def _ranked(df: DataFrame, by: list[str], ties: list[str], wide: bool) -> DataFrame:
+    """df with n, the rows of each group `by`, and drawn, their places in it by `key` and `ties`.
+
+    wide: groups may be large, so they are ranked in parts by the key's first bits; places are the same.
+    """
+    group = Window.partitionBy(*by)
+    if not wide:
+        return df.withColumns({"n": F.count("*").over(group), "drawn": F.row_number().over(group.orderBy("key", *ties)).cast("long")})
+    df = tables.stored(df.withColumn("part", F.expr(f"shiftright(key, {60 - PART_BITS})")), "mix-balls")
+    sizes = df.groupBy(*by, "part").agg(F.count("*").alias("many"))
+    sizes = sizes.withColumns({"n": F.sum("many").over(group), "before": F.coalesce(F.sum("many").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    own = F.row_number().over(Window.partitionBy(*by, "part").orderBy("key", *ties))
+    return df.join(sizes.drop("many"), [*by, "part"]).withColumn("drawn", F.col("before") + own).drop("before", "part")
+
+
+def _split(balls: DataFrame, wide: bool = False) -> DataFrame:
     """balls (lo, hi, ord, i) of the nodes of one level, by their shards lo to hi - 1: each goes to its node's left or right half. A node of one shard stays."""
-    node = Window.partitionBy("lo", "hi")
-    drawn = F.row_number().over(node.orderBy("key", "ord", "i"))
     df = balls.withColumn("mid", F.expr("if(hi - lo > 1, (lo + hi) div 2, hi)")).withColumn("key", _keyed(F.lit("urn"), F.col("lo"), F.col("hi"), F.col("ord"), F.col("i")))
-    df = df.withColumns({"n": F.count("*").over(node), "drawn": drawn})
+    df = _ranked(df, ["lo", "hi"], ["ord", "i"], wide)
     # the left half's share of the balls, rounded
     left = F.expr("drawn <= (2 * n * (mid - lo) + (hi - lo)) div (2 * (hi - lo))")
     return df.select(F.when(left, F.col("lo")).otherwise(F.col("mid")).cast("int").alias("lo"), F.when(left, F.col("mid")).otherwise(F.col("hi")).cast("int").alias("hi"), "ord", "i")
 
 
-def quotas(sources: DataFrame, shards: int) -> DataFrame:
+def quotas(sources: DataFrame, shards: int, wide: bool = False) -> DataFrame:
     """sources (ord, instances) to ord, shard, quota: how many block instances of each source every shard gets, where any."""
     balls = sources.select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "ord", F.explode(F.expr("sequence(1L, instances)")).alias("i"))
     for _ in range(math.ceil(math.log2(max(1, shards)))):
-        balls = _split(balls)
+        balls = _split(balls, wide)
     return balls.groupBy("ord", F.col("lo").alias("shard")).agg(F.count("*").alias("quota"))
 
 
-def places(sources: DataFrame, quota: DataFrame) -> DataFrame:
+def places(sources: DataFrame, quota: DataFrame, wide: bool = False) -> DataFrame:
     """sources (ord, blocks, instances) and quotas() to ord, block, at: an array of (pass, shard, quota) of the block's instances."""
     upto = F.sum("quota").over(Window.partitionBy("ord").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    slots = quota.withColumn("upto", upto).select("ord", "shard", "quota", F.explode(F.expr("sequence(upto - quota + 1, upto)")).alias("rank"))
+    slots = quota.withColumn("upto", upto).select("ord", "shard", "quota", F.explode(F.expr("sequence(upto - quota + 1, upto)")).alias("drawn"))
     every = sources.select("ord", "blocks", F.explode(F.expr("sequence(0L, instances - 1)")).alias("instance"))
-    rank = F.row_number().over(Window.partitionBy("ord").orderBy(_keyed(F.lit("order"), F.col("ord"), F.col("instance")), "instance")).cast("long")
-    filled = every.withColumn("rank", rank).join(slots, ["ord", "rank"])
+    every = every.withColumn("key", _keyed(F.lit("order"), F.col("ord"), F.col("instance")))
+    filled = _ranked(every, ["ord"], ["instance"], wide).join(slots, ["ord", "drawn"])
     at = F.struct(F.expr("instance div blocks").alias("pass"), "shard", "quota")
     return filled.groupBy("ord", F.expr("instance % blocks").alias("block")).agg(F.array_sort(F.collect_list(at)).alias("at"))
 
 
-@tables.tidy
 def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """sized: stored rows (doc_id, source, size). Returns, stored, one row per source, the places of each block, what boundary documents give, and the number of shards.
 
@@ -135,7 +150,8 @@ def plan(sized: DataFrame, weights=WEIGHTS, cap: float = CAP, shards: int | None
 
     src = tables.keep(tables.stored(src.drop("rest"), "mix-plan"))
     given = src.where("instances > 0")
-    placed = tables.keep(tables.stored(places(given, tables.stored(quotas(given, shards), "mix-quotas")), "mix-places"))
+    wide = (given.agg(F.sum("instances")).first()[0] or 0) > MANY_BALLS
+    placed = tables.keep(tables.stored(places(given, tables.stored(quotas(given, shards, wide), "mix-quotas"), wide), "mix-places"))
 
     ends = tables.small(src.select("ord", "cut_block", "need").where("need > 0"), SMALL_SOURCES)
     edge = dealt.select("doc_id", "size", "h", "ord", "block").join(ends, "ord").where(F.col("block") == F.col("cut_block"))

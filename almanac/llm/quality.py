@@ -165,7 +165,8 @@ def thresholds(parts: DataFrame, groups: DataFrame, prior: int = PRIOR) -> DataF
         on = F.col("rate") == F.col("_rate")
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        wanted = wanted.join(q, on, "left").drop("_rate", *[f"_{k}" for k in keys])
+        # the sketch of all is one row for each rate, of a bounded number of bins
+        wanted = wanted.join(q if keys else F.broadcast(q), on, "left").drop("_rate", *[f"_{k}" for k in keys])
     docs = [F.coalesce(F.col(f"docs{i}").cast("double"), F.lit(0.0)) for i in range(3)]
     none = "cast(array() AS array<struct<bin: bigint, s: bigint, l: bigint, z: bigint>>)"
     bins = F.array_sort(F.concat(*[F.expr(f"coalesce(bins{i}, {none})") for i in range(3)]))

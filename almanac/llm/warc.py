@@ -7,6 +7,8 @@ as many records as its manifest says. Archives are written by the tasks that hol
 under names of their own attempt; only the attempts whose rows arrive in the stored manifest count, so a task that is run again
 leaves nothing that is read.
 
+A dictionary is trained on the first SAMPLE_OF bytes of each payload, SAMPLE_BYTES in all; payloads themselves are whole.
+
 Of pages with equal payloads of at least REVISIT_BYTES, the one with the largest page_id is the response and the others
 are revisits of it, without payload. Groups are aggregated before the shuffle and only those of two or more are joined
 back, by broadcast while they are at most SMALL_GROUPS, else by a shuffled join that AQE splits.
@@ -36,7 +38,7 @@ from almanac.llm import tables
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 64 << 20
 DICTIONARY_BYTES = 32 << 10
-SAMPLE_BYTES = 1 << 20
+SAMPLE_BYTES, SAMPLE_OF = 1 << 20, 8192
 SMALL_GROUPS = 200_000
 READ_BYTES = 64 << 10
 DATE = "2000-01-01T00:00:00Z"
@@ -89,7 +91,7 @@ def dictionary(payloads: list[bytes]) -> bytes:
     samples, total = [], 0
     for p in payloads:
         if p:
-            samples.append(p[:8192])
+            samples.append(p[:SAMPLE_OF])
             total += len(samples[-1])
         if total >= SAMPLE_BYTES:
             break
@@ -271,6 +273,10 @@ def plan(pages: DataFrame) -> DataFrame:
 def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes archives of pages (page_id, url, html) below folder and returns the stored manifest: path, n_records, n_bytes."""
     folder = folder or tables.new_folder(pages.sparkSession, "warc")
+    try:
+        fs.FileSystem.from_uri(folder)
+    except (pa.ArrowException, OSError) as e:
+        raise ValueError(f"archives are written through pyarrow.fs, which cannot open {folder}; give a folder in a store that it knows") from e
     return tables.stored(plan(pages).mapInArrow(_write(folder), MANIFEST), "warc-manifest")
 
 

@@ -735,6 +735,10 @@ def test_quotas_and_places_by_plain_urns(spark):
         at = [(r["ord"], r["block"], x["pass"], x["shard"], x["quota"]) for r in mixing.places(sources, quota).collect() for x in r["at"]]
         assert sorted((o, p * have[o][0] + b) for o, b, p, _, _ in at) == [(k, i) for k, (_, n) in have.items() for i in range(n)]  # each instance once
         assert Counter((o, s) for o, _, _, s, _ in at) == want and all(q == want[o, s] for o, _, _, s, q in at)
+        if shards == 5:  # ranked in parts: the same
+            wide = mixing.quotas(sources, shards, True)
+            assert {(r["ord"], r["shard"]): r["quota"] for r in wide.collect()} == want
+            assert sorted(at) == sorted((r["ord"], r["block"], x["pass"], x["shard"], x["quota"]) for r in mixing.places(sources, wide, True).collect() for x in r["at"])
     # the shares of a node vary as draws without replacement do
     firsts = [sum(1 for b in _drawn_urn([(k, i) for k in (1, 2) for i in range(20)], lo, lo + 2)[lo] if b[0] == 1) for lo in range(200)]
     mean, var = np.mean(firsts), np.var(firsts)
