@@ -54,7 +54,7 @@ def collapse_breaks(c: Column) -> Column:
 def _plain(c: Column) -> Column:
     """Markup of links, templates, references and emphasis reduced to its text."""
     c = F.regexp_replace(c, r"(?i)<ref[^>]*/>|<ref[^>]*>[\s\S]*?</ref>", "")
-    c = _let(c, _without_templates)
+    c = let(c, _without_templates)
     c = F.regexp_replace(c, r"\{\|[\s\S]*?\|\}", "")
     c = F.regexp_replace(c, r"(?i)\[\[(?:File|Image):(?:[^\[\]]|\[\[[^\[\]]*\]\])*\]\]", "")
     c = F.regexp_replace(c, r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]", "$1")
@@ -64,7 +64,7 @@ def _plain(c: Column) -> Column:
     return F.regexp_replace(c, HEADING, "")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with the value worked out once however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -88,7 +88,7 @@ def strip_wikitext(c: Column) -> Column:
         first = F.get(found, F.lit(0))["title"]
         return F.when((F.size(found) > 0) & ~F.startswith(plain, first), F.concat(marks, F.lit("\n\n"), plain)).otherwise(plain)
 
-    full = _let(F.struct(headings(c).alias("found"), body.alias("body")), joined)
+    full = let(F.struct(headings(c).alias("found"), body.alias("body")), joined)
     return trim(collapse_breaks(strip_comments(full)))
 
 
@@ -139,12 +139,12 @@ def lead(c: Column) -> Column:
 
 def tokens(c: Column) -> Column:
     """Runs of letters and digits, lower-cased. Where a script puts no spaces, every letter and every two neighbours are tokens."""
-    low = F.lower(c)
-    runs = F.regexp_extract_all(low, F.lit(rf"[{SPACELESS}]+|[\p{{L}}\p{{N}}&&[^{SPACELESS}]]+"), F.lit(0))
     pairs = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: t.substr(i, F.lit(2)))
     letters = lambda t: F.when(F.length(t) > 1, F.split(t, "")).otherwise(F.array().cast("array<string>"))
     cut = lambda t: F.when(t.rlike(f"^[{SPACELESS}]"), F.concat(letters(t), pairs(t))).otherwise(F.array(t))
-    return F.when(low.rlike(f"[{SPACELESS}]"), F.flatten(F.transform(runs, cut))).otherwise(F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0)))
+    runs = rf"[{SPACELESS}]+|[\p{{L}}\p{{N}}&&[^{SPACELESS}]]+"
+    mixed = lambda low: F.flatten(F.transform(F.regexp_extract_all(low, F.lit(runs), F.lit(0)), cut))
+    return let(F.lower(c), lambda low: F.when(low.rlike(f"[{SPACELESS}]"), mixed(low)).otherwise(F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0))))
 
 
 def query_terms(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac import params
@@ -24,25 +24,24 @@ def terms_of(query: str) -> list[str]:
     return list(dict.fromkeys(found))
 
 
-def _frequency(term: str) -> Column:
-    return F.size(F.filter("tokens", lambda t: t == term))
+def _counted(df: DataFrame, terms: list[str]) -> DataFrame:
+    """df with counted: n, the tokens of a text, and tf, how often each term is among them.
+
+    The struct comes out of a generator: a plain column would be worked out again for every filter that Catalyst pushes below it.
+    """
+    frequency = lambda tokens, term: F.size(F.filter(tokens, lambda t: t == term))
+    both = text.let(text.tokens(F.col("full_text")), lambda tokens: F.struct(F.size(tokens).alias("n"), F.array(*[frequency(tokens, t) for t in terms]).cast("array<int>").alias("tf")))
+    return df.select("*", F.explode(F.array(both)).alias("counted"))
 
 
 def matches(articles: DataFrame, query: str, language: str = "en") -> DataFrame:
-    """All hits, unordered: articles with tokens, one column tf_<i> per term, and score. Parameters are checked first."""
+    """All hits, unordered: articles with counted (see _counted) and score. Parameters are checked first."""
     lang, terms = params.language(language), terms_of(query)
     df = articles.where(F.col("lang") == lang)
     for term in terms:  # cheap, before anything is cut into tokens
         df = df.where(F.contains(F.lower("full_text"), F.lit(term)))
-    df = df.withColumn("tokens", text.tokens(F.col("full_text")))
-    df = df.withColumns({f"tf_{i}": _frequency(t) for i, t in enumerate(terms)})
-    found = F.lit(bool(terms))
-    for i in range(len(terms)):
-        found = found & (F.col(f"tf_{i}") > 0)
-    total = F.lit(0)
-    for i in range(len(terms)):
-        total = total + F.col(f"tf_{i}")
-    return df.where(found).withColumn("score", total.cast("long"))
+    df = _counted(df, terms).where(F.lit(bool(terms)) & F.forall("counted.tf", lambda n: n > 0))
+    return df.withColumn("score", F.aggregate("counted.tf", F.lit(0).cast("long"), lambda a, n: a + n))
 
 
 def search(articles: DataFrame, query: str, limit: int = params.SEARCH_LIMIT, language: str = "en") -> DataFrame:
@@ -63,15 +62,15 @@ def search_meta(articles: DataFrame, query: str, language: str = "en") -> DataFr
 def search_bm25(articles: DataFrame, query: str, limit: int = params.SEARCH_LIMIT, language: str = "en") -> DataFrame:
     """Hits of search() in the order of BM25, rounded to six places. Lengths and document frequencies are of the whole edition."""
     terms = terms_of(query)
-    edition = articles.where(F.col("lang") == params.language(language)).withColumn("tokens", text.tokens(F.col("full_text")))
-    has = [F.sum(F.array_contains("tokens", t).cast("int")).alias(f"df_{i}") for i, t in enumerate(terms)]
-    stats = edition.agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("mean"), *has)
+    edition = _counted(articles.where(F.col("lang") == params.language(language)).select("full_text"), terms)
+    has = [F.sum((F.col("counted.tf")[i] > 0).cast("int")).alias(f"df_{i}") for i in range(len(terms))]
+    stats = edition.agg(F.count("*").alias("n"), F.avg("counted.n").alias("mean"), *has)
     df = matches(articles, query, language).withColumn("s", stats.select(F.struct("*")).scalar())
     score = F.lit(0.0)
     for i in range(len(terms)):
         idf = F.log(1 + (F.col("s.n") - F.col(f"s.df_{i}") + 0.5) / (F.col(f"s.df_{i}") + 0.5))
-        tf = F.col(f"tf_{i}")
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("tokens") / F.col("s.mean")))
+        tf = F.col("counted.tf")[i]
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("counted.n") / F.col("s.mean")))
     df = df.withColumn("score", F.round(score, 6)).orderBy(F.col("score").desc(), "pageid").limit(params.row_limit(limit))
     return df.select("title", "pageid", "score")
 
@@ -123,8 +122,9 @@ def search_batch(index: DataFrame, requests: DataFrame) -> DataFrame:
     hits = index.join(_wanted(asked), ["lang", "term"], "left_semi").join(asked, ["lang", "term"]).groupBy("request_id", "most", "n_terms", "pageid").agg(F.count("*").alias("found"), F.sum("tf").alias("score"))
     hits = hits.where("found = n_terms")
     by = Window.partitionBy("request_id")
-    totals = hits.groupBy(F.col("request_id").alias("_r")).agg(F.count("*").alias("total_count"))
+    # the best score is not needed, but with it both sides need the same columns, so the shuffled hits are reused
+    totals = hits.groupBy(F.col("request_id").alias("_r")).agg(F.count("*").alias("total_count"), F.max("score").alias("_best"))
     # the bound that no request exceeds is a literal, so that tasks drop all but their best rows before the shuffle
     ranked = hits.withColumn("rank", F.row_number().over(by.orderBy(F.col("score").desc(), "pageid"))).where(F.col("rank") <= params.MOST_ROWS).where("rank <= most")
-    ranked = ranked.join(totals, F.col("request_id") == F.col("_r"))
+    ranked = ranked.join(totals, (F.col("request_id") == F.col("_r")) & (F.col("score") <= F.col("_best")))
     return ranked.select("request_id", "rank", "pageid", "score", "total_count")
