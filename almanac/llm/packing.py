@@ -4,8 +4,9 @@ Each document is tokenised once. Its hashed vector (weights of its token ids, su
 numbers by signed hashes of the ids, and these are quantised and joined into a key on the Hilbert curve, so documents
 whose vectors are near are near along the curve. Spark range-sorts by that key, with ties by doc_id and length, so a large
 group of equal documents spreads over partitions; every partition fills sequences of LENGTH ids with neighbouring
-documents, cutting where a sequence is full. What remains at a partition's end goes to sequences whose lengths are powers
-of two, which need no padding, so nothing is padded.
+documents, cutting where a sequence is full. What remains at the partitions' ends, less than a sequence each, is filled
+up in the order of the curve, REST_PARTS partitions at a time; what remains of these goes to sequences whose lengths are
+powers of two, which need no padding, so nothing is padded.
 
 Tokenising: pieces between white space, and between letters, digits and ASCII signs, have ids of their own in this
 vocabulary (its splitting pattern never joins them), so ids are looked up by a piece's 64-bit hash in a table that a worker
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from almanac.llm import tables, words
 
@@ -34,6 +36,8 @@ END_ID = 2
 DIMENSIONS = 3
 BITS = 16
 CACHE_SLOTS = 1 << 20
+#: Remainders of so many partitions are filled up together.
+REST_PARTS = 1024
 TOKENIZER = "word_bpe_49k.json"
 
 _SPACE, _LETTER, _SIGN, _DIGIT, _OTHER = 0, 1, 2, 3, 4
@@ -308,16 +312,17 @@ def _halves(n: int) -> list[int]:
 class _Filler:
     """Cuts a run of documents into sequences; what is not yet a full sequence waits."""
 
-    def __init__(self, length: int, part: int):
-        self.length, self.next = length, part << 32
+    def __init__(self, length: int, first: int):
+        self.length, self.next = length, first
         self.doc: list = []
         self.total = self.done = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint16)
 
-    def add(self, doc: list, total: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    def add(self, doc: list, total: np.ndarray, done: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        """doc, total: documents and their sizes; done: ids of each that come before those given."""
         self.doc += doc
         self.total = np.concatenate([self.total, total])
-        self.done = np.concatenate([self.done, np.zeros(len(total), np.int64)])
+        self.done = np.concatenate([self.done, done])
         self.ids = np.concatenate([self.ids, ids])
         full = len(self.ids) // self.length
         return self._emit(np.full(full, self.length, np.int64))
@@ -325,6 +330,15 @@ class _Filler:
     def close(self) -> pa.RecordBatch:
         return self._emit(np.array(_halves(len(self.ids)), np.int64))
 
+    def rest(self, part: int) -> pa.RecordBatch:
+        """What waits, as rows with their ids: doc_id, start and doc_tokens of each document, and its place after other partitions' remainders."""
+        n, size = len(self.doc), self.total - self.done
+        offsets = np.concatenate([[0], np.cumsum(size) * 2]).astype(np.int32)
+        ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(self.ids))])
+        none = pa.nulls(n, pa.int64())
+        own = [pa.array(self.doc, pa.int64()), pa.array(self.done, pa.int64()), none, none, pa.array(self.total, pa.int64()), none, none, none]
+        return pa.RecordBatch.from_arrays([*own, pa.array(np.full(n, part, np.int64)), pa.array(np.arange(n)), ids], _NAMES)
+
     def _emit(self, sizes: np.ndarray) -> pa.RecordBatch:
         """Fills sequences of the given sizes from the front."""
         seq_end = np.cumsum(sizes)
@@ -355,21 +369,55 @@ class _Filler:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 
 
+_REST = "part long, n long, ids binary"
+_NAMES = [f.split()[0] for f in f"{PIECES}, {_REST}".split(", ")]
+
+
 def packer(length: int = LENGTH):
+    """For mapInArrow over (doc_id, ids, n): pieces of full sequences, and rows of what remains (part, n and ids are not null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        fill = _Filler(length, part << 32)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                own = batch.slice(a, 512)
+                ids = np.frombuffer(b"".join(own.column(1).to_pylist()), np.uint16)
+                total = own.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+                found = fill.add(own.column(0).to_pylist(), total, np.zeros(len(total), np.int64), ids)
+                nulls = [pa.nulls(found.num_rows, t) for t in (pa.int64(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*found.columns, *nulls], _NAMES)
+        yield fill.rest(part)
+
+    return run
+
+
+def rest_packer(length: int = LENGTH):
+    """For mapInArrow over packer()'s remainders (doc_id, start, doc_tokens, ids, group) in order: their pieces."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fill = _Filler(length, TaskContext.get().partitionId())
+        fill = None
         for batch in batches:
+            if fill is None:  # numbers beyond those of any partition
+                fill = _Filler(length, 1 << 62 | batch.column(4)[0].as_py() << 32)
             for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                ids = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16)
-                yield fill.add(part.column(0).to_pylist(), part.column(2).to_numpy(zero_copy_only=False).astype(np.int64), ids)
-        yield fill.close()
+                own = batch.slice(a, 512)
+                done, total = (own.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+                yield fill.add(own.column(0).to_pylist(), total, done, np.frombuffer(b"".join(own.column(3).to_pylist()), np.uint16))
+        if fill is not None:
+            yield fill.close()
 
     return run
 
 
+@tables.tidy
 def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """docs (doc_id, text) to one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length."""
     coded = tokenised(docs, path, end_id)
     along = coded.repartitionByRange("key", "doc_id", "n").sortWithinPartitions("key", "doc_id", "n")
-    return along.select("doc_id", "ids", "n").mapInArrow(packer(length), PIECES)
+    cut = tables.keep(tables.stored(along.select("doc_id", "ids", "n").mapInArrow(packer(length), f"{PIECES}, {_REST}"), "pack-pieces"))
+    left = cut.where(F.col("part").isNotNull()).withColumn("group", F.expr(f"part div {REST_PARTS}"))
+    groups = (left.agg(F.max("group")).first()[0] or 0) + 1
+    left = left.repartitionById(groups, F.col("group").cast("int")).sortWithinPartitions("part", "n")
+    ends = left.select("doc_id", "start", "doc_tokens", "ids", "group").mapInArrow(rest_packer(length), PIECES)
+    return cut.where(F.col("part").isNull()).drop("part", "n", "ids").union(ends)

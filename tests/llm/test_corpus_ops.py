@@ -127,9 +127,38 @@ def test_packing(spark, docs, empty):
             assert offset == at
             at += length
         assert at <= 4096 and at & (at - 1) == 0  # powers of two need no padding
+    # only what the last sequences cannot hold is short: at most one sequence for each power of two
+    short = [max(o + n for o, n in parts) for parts in by_sequence.values() if max(o + n for o, n in parts) < 4096]
+    assert len(short) == len(set(short))
     assert packing.pack(empty).count() == 0
 
 
+def test_remainders_of_partitions_are_filled_up(spark, monkeypatch):
+    monkeypatch.setattr(packing, "REST_PARTS", 3)
+    rng = random.Random(7)
+    df = spark.createDataFrame([(i, _prose(rng, rng.randrange(1, 300))) for i in range(200)], "doc_id long, text string").repartition(11)
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pieces = packing.pack(df, length=256).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    by_doc, ends = defaultdict(list), defaultdict(int)
+    for p in pieces:
+        by_doc[p["doc_id"], p["doc_tokens"]].append((p["start"], p["length"]))
+        ends[p["sequence_id"]] = max(ends[p["sequence_id"]], p["offset"] + p["length"])
+    for (_, n), parts in by_doc.items():
+        at = 0
+        for start, size in sorted(parts):
+            assert start == at
+            at += size
+        assert at == n
+    assert all(sum(p["length"] for p in pieces if p["sequence_id"] == s) == n for s, n in ends.items())
+    groups = Counter(s >> 32 for s, n in ends.items() if n < 256)
+    assert len(groups) <= 4 and all(n <= 8 for n in groups.values())
+
+
 def test_tokens_with_a_small_table():
     from tokenizers import Tokenizer
 
