@@ -21,10 +21,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import dataclasses
-import gc
 import io
 import json
 from collections.abc import Iterator
@@ -68,8 +65,13 @@ class Sample:
 
     @classmethod
     def of(cls, texts: pa.ChunkedArray | pa.Array) -> "Sample":
+        return cls.of_pieces(words.chunks(texts))
+
+    @classmethod
+    def of_pieces(cls, pieces: Iterator[words.Texts]) -> "Sample":
+        """The sample of texts that come one after another; none is kept."""
         keys, rows, each, counts = [np.zeros(0, np.uint64)], [np.zeros((0, _PARTS), np.int32)], [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
-        for piece in words.chunks(texts):
+        for piece in pieces:
             w = piece.words(words.ALNUM, fold=True)
             ids, h = features(piece)[0], w.hashes()
             own, first = np.unique(h, return_index=True)
@@ -299,29 +301,23 @@ def fitted(y: np.ndarray, lang: list, texts: Sample) -> Model:
 
 def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For mapInArrow over one partition (toxic, lang, text): one row, the model; none without rows of both kinds."""
-    y, lang, texts = [], [], []
-    for batch in batches:
-        y += batch.column(0).to_pylist()
-        lang += batch.column(1).to_pylist()
-        texts.append(batch.column(2).cast(pa.large_string()))
-    y = np.array(y, np.int64)
-    if len(set(y.tolist())) > 1:
-        sample = Sample.of(pa.chunked_array(texts))
-        del texts
+    labels, lang = [], []
+
+    def pieces() -> Iterator[words.Texts]:
+        for batch in batches:
+            labels.extend(batch.column(0).to_pylist())
+            lang.extend(batch.column(1).to_pylist())
+            yield from words.chunks(batch.column(2))
+
+    sample = Sample.of_pieces(pieces())
+    y = np.array(labels, np.int64)
+    if len(set(labels)) > 1:
         model = fitted(y, lang, sample).to_bytes()
         del sample
-        _give_back()
+        words.give_back()
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
 
-def _give_back() -> None:
-    """Returns what training has freed to the system; the worker goes on to other tasks."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # only in the GNU C library
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 @tables.tidy
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model, trained in one executor task from the bounded sample; None without rows of both kinds."""
