@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.read(spark, sf_dir, "documents")
+    docs, before = tables.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = tables.stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:  # written, so the stage before is not read again
+            tables.drop(before)
+        before = docs
     return docs
