@@ -35,7 +35,7 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 16
-CACHE_SLOTS = 1 << 20
+CACHE_SLOTS = 1 << 21
 #: Remainders of so many partitions are filled up together.
 REST_PARTS = 1024
 TOKENIZER = "word_bpe_49k.json"
