@@ -8,7 +8,7 @@ import pytest
 from almanac.plans import registry
 
 
-@pytest.mark.parametrize("name", ["section_read", "section_requests"])
+@pytest.mark.parametrize("name", ["section_read", "render_section", "section_requests"])
 def test_short_lines(spark, tmp_path, name):
     """Lines that "Text: " begins with keep their heading, at both levels of headings."""
     lines = ["T", "Te", "Tex", "Text", "Text:", "Text: T", " T ", "A", "Tex.", "To", "Text: Text: Text: more"]
