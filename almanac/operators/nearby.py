@@ -38,13 +38,15 @@ def nearby_meta(geotags: DataFrame, latitude: float, longitude: float, radius_me
 def nearby_batch(geotags: DataFrame, points: DataFrame, radius_meters: int = params.RADIUS, limit: int = params.NEARBY_LIMIT, language: str = "en") -> DataFrame:
     """points (point_id, latitude, longitude) to point_id, rank, title, pageid, distance_meters.
 
-    A grid of cells about as wide as the circle makes this an equi-join: each point asks the cells its circle meets.
+    A grid of cells about as wide as the circle makes this an equi-join: each point asks the cells its circle meets. Points of
+    one place ask once, and of the geotags of one place, which are as far, only those of the smallest pageids can be answers.
     """
     meters, most, lang = params.radius(radius_meters), params.row_limit(limit), params.language(language)
-    tags = geotags.where(F.col("lang") == lang).withColumn("row", geo.cell_row(F.col("latitude"), meters))
+    tags = _first(geotags.where(F.col("lang") == lang), ["latitude", "longitude"], ["pageid"], most).withColumn("row", geo.cell_row(F.col("latitude"), meters))
     tags = tags.withColumn("cell", geo.cell_column(F.col("longitude"), geo.cells_in_row(F.col("row"), meters)))
     high = geo.cell_rows(meters)
-    ask = points.select("point_id", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
+    points = points.select("point_id", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
+    ask = points.select("plat", "plon").distinct()
     ratio = F.sin(F.radians(F.lit(high))) / F.cos(F.radians("plat"))
     wide = F.when(F.abs("plat") + high >= 90, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.000001)
     ask = ask.withColumns({"wide": wide, "row": F.explode(F.sequence(geo.cell_row(F.col("plat"), meters) - 1, geo.cell_row(F.col("plat"), meters) + 1))})
@@ -53,6 +55,12 @@ def nearby_batch(geotags: DataFrame, points: DataFrame, radius_meters: int = par
     middle = geo.cell_column(F.col("plon"), F.col("n"))
     ask = ask.withColumn("cell", F.explode(F.array_distinct(F.transform(F.sequence(middle - side, middle + side), lambda c: F.pmod(c, F.col("n"))))))
     away = geo.distance(F.col("plat"), F.col("plon"), F.col("latitude"), F.col("longitude"))
-    near = tags.join(ask.drop("wide", "n"), ["row", "cell"]).withColumn("exact", away).where(F.col("exact") <= meters).withColumn("distance_meters", F.round("exact", 1))
-    order = Window.partitionBy("point_id").orderBy("distance_meters", "pageid")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("point_id", "rank", "title", "pageid", "distance_meters")
+    near = tags.drop("rank").join(ask.drop("wide", "n"), ["row", "cell"]).withColumn("exact", away).where(F.col("exact") <= meters).withColumn("distance_meters", F.round("exact", 1))
+    found = _first(near, ["plat", "plon"], ["distance_meters", "pageid"], most).select("plat", "plon", "title", "pageid", "distance_meters")
+    rows = _first(points.join(found, ["plat", "plon"]), ["point_id"], ["distance_meters", "pageid"], most)  # a point_id may have several places
+    return rows.select("point_id", "rank", "title", "pageid", "distance_meters")
+
+
+def _first(df: DataFrame, by: list[str], order: list[str], most: int) -> DataFrame:
+    """The first `most` rows of each group, with their rank."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= most)
